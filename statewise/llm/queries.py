@@ -8,13 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat_format import chat_digests, format_chats
 from .common import table
+from .fingerprints import fingerprint_edits
 from .mixing import mix_sources
+from .near_dedup import near_groups
 from .sharding import shard_by_bytes
 
 #: A text full of control strings, formatted beside the conversations of the table.
 TRAP = r"\### Assistant: </turn> ok"
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))[0]
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = spark.range(2).selectExpr(
@@ -27,12 +33,17 @@ def op5_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_chat_format, op5_shard_by_bytes, op9_mix_sources)
+    f.__name__: f
+    for f in (op1_near_dedup, op4_chat_format, op5_shard_by_bytes, op8_fingerprints, op9_mix_sources)
 }
 
 OP4_SQL = r"""
