@@ -12,6 +12,7 @@ from .fingerprints import fingerprint_edits
 from .mixing import mix_sources
 from .near_dedup import near_groups
 from .sharding import shard_by_bytes
+from .toxicity import score_toxicity
 
 #: A text full of control strings, formatted beside the conversations of the table.
 TRAP = r"\### Assistant: </turn> ok"
@@ -21,6 +22,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))[0]
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = spark.range(2).selectExpr(
@@ -43,7 +48,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_near_dedup, op4_chat_format, op5_shard_by_bytes, op8_fingerprints, op9_mix_sources)
+    for f in (op1_near_dedup, op2_toxicity, op4_chat_format, op5_shard_by_bytes, op8_fingerprints, op9_mix_sources)
 }
 
 OP4_SQL = r"""
