@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat_format import chat_digests, format_chats
 from .common import table
 from .fingerprints import fingerprint_edits
+from .lm_score import score_corpus
 from .mixing import mix_sources
 from .near_dedup import near_groups
 from .sharding import shard_by_bytes
@@ -26,6 +27,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = spark.range(2).selectExpr(
@@ -48,7 +53,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_near_dedup, op2_toxicity, op4_chat_format, op5_shard_by_bytes, op8_fingerprints, op9_mix_sources)
+    for f in (op1_near_dedup, op2_toxicity, op3_lm_score, op4_chat_format, op5_shard_by_bytes, op8_fingerprints, op9_mix_sources)
 }
 
 OP4_SQL = r"""
