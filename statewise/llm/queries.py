@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat_format import chat_digests, format_chats
 from .common import table
+from .decontaminate import leaks
 from .fingerprints import fingerprint_edits
 from .lm_score import score_corpus
 from .mixing import mix_sources
@@ -51,9 +52,22 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hamming")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_near_dedup, op2_toxicity, op3_lm_score, op4_chat_format, op5_shard_by_bytes, op8_fingerprints, op9_mix_sources)
+    for f in (
+        op1_near_dedup,
+        op2_toxicity,
+        op3_lm_score,
+        op4_chat_format,
+        op5_shard_by_bytes,
+        op8_fingerprints,
+        op9_mix_sources,
+        op10_decontaminate,
+    )
 }
 
 OP4_SQL = r"""
@@ -107,4 +121,41 @@ SELECT d.doc_id, d.size, d.source_size, d.target,
 FROM drawn d LEFT JOIN cut c ON d.source IS NOT DISTINCT FROM c.source
 """
 
-SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op9_mix_sources": OP9_SQL}
+OP10_SQL = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark
+), doc_words AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w
+  FROM documents
+), item_sh AS (
+  SELECT item_id, len(w) AS n_words, array_to_string(w[i:i + 4], ' ') AS sh
+  FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM item_words WHERE len(w) >= 5)
+), item_count AS (
+  SELECT item_id, n_words, sh, count(*) AS n FROM item_sh GROUP BY ALL
+), doc_sh AS (
+  SELECT row, doc_id, len(w) AS n, i - 1 AS p, array_to_string(w[i:i + 4], ' ') AS sh
+  FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM doc_words WHERE len(w) >= 5)
+), met AS (
+  SELECT DISTINCT d.row, d.doc_id, d.n, d.p, i.item_id, i.n_words FROM doc_sh d JOIN item_count i USING (sh)
+), windows AS (
+  SELECT DISTINCT row, doc_id, item_id, n_words,
+    unnest(range(greatest(0, p - n_words + 5), least(p, greatest(0, n - n_words)) + 1)) AS start
+  FROM met
+), window_count AS (
+  SELECT v.row, v.doc_id, v.item_id, v.n_words, v.start, d.sh, count(*) AS n
+  FROM windows v JOIN doc_sh d ON d.row = v.row AND d.p >= v.start AND d.p <= v.start + v.n_words - 5
+  GROUP BY ALL
+), weighed AS (
+  SELECT v.doc_id, v.item_id, v.n_words, v.start, v.row, sum(v.n) AS window_weight, sum(least(v.n, coalesce(i.n, 0))) AS common
+  FROM window_count v LEFT JOIN item_count i ON i.item_id = v.item_id AND i.sh = v.sh
+  GROUP BY ALL
+), alike AS (
+  SELECT *, CAST(common AS DOUBLE) / (window_weight + n_words - 4 - common) AS similarity FROM weighed
+  WHERE 100 * common >= 80 * (window_weight + n_words - 4 - common)
+)
+SELECT doc_id, item_id, similarity, CAST(start AS INTEGER) AS start, CAST(n_words AS INTEGER) AS n_words FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS place FROM alike
+) WHERE place = 1
+"""
+
+SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op9_mix_sources": OP9_SQL, "op10_decontaminate": OP10_SQL}
