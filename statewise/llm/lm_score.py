@@ -11,7 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable
-from .exchange import REQUEST, answers, buckets_for, cut, reply_of, request_batch, requests, with_block
+from .exchange import (
+    REQUEST,
+    answers,
+    buckets_for,
+    by_block,
+    cut,
+    grow,
+    reply_of,
+    request_batch,
+    requests,
+    shrunk,
+    with_block,
+)
 from .fingerprints import mix64
 from .toxicity import held_out
 
@@ -25,12 +37,12 @@ BACKOFF = 500.0
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
 
 
-def block_tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def block_tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts, each with its end, and the number of tokens of each text."""
     hashes, lengths = [], np.empty(len(texts), np.int64)
     digest = xxhash.xxh3_64_intdigest
     for i, text in enumerate(texts):
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        words = text.lower().split()
         hashes.append(np.fromiter((digest(w) for w in words), np.uint64, len(words)))
         hashes.append(END[None])
         lengths[i] = len(words) + 1
@@ -48,7 +60,7 @@ def _ask(buckets: int):
         """Requests of each block: its distinct tokens and pairs with their counts in training texts."""
 
         def block_requests(block: int, texts: list, trains: list) -> pa.RecordBatch:
-            tokens, lengths = block_tokens(texts)
+            tokens, lengths = block_tokens([(t or "").encode("utf-8", "surrogatepass") for t in texts])
             weight = np.repeat(np.array(trains, bool), lengths)
             rows = []
             for kind, keys in ((1, tokens), (2, pairs_of(tokens))):
@@ -62,31 +74,6 @@ def _ask(buckets: int):
     return ask
 
 
-def by_block(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
-    """Calls work(block, values of column 1, values of column 2) for each run of equal blocks (column 0)."""
-    block, held = None, ([], [])
-    for batch in batches:
-        ids = batch.column(0).to_numpy()
-        columns = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        for lo, hi in runs(ids):
-            if block is not None and ids[lo] != block:
-                yield work(block, *held)
-                held = ([], [])
-            block = int(ids[lo])
-            for h, c in zip(held, columns, strict=True):
-                h.extend(c[lo:hi])
-    if block is not None:
-        yield work(block, *held)
-
-
-def runs(ids: np.ndarray) -> list[tuple[int, int]]:
-    """First and last + 1 of each run of equal values."""
-    if not len(ids):
-        return []
-    at = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
-    return list(zip(at[:-1], at[1:], strict=True))
-
-
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -98,7 +85,7 @@ def _score(train_tokens: int, vocabulary: int):
         token takes the failure arc of weight log10(B / (c(h) + B)) to the root and the root's arc log10 p(w). Each
         text starts in the state of the end token, and the sums run along its tokens.
         """
-        tokens, lengths = block_tokens(docs.column("text").to_pylist())
+        tokens, lengths = block_tokens([grow(t) for t in docs.column("packed").to_pylist()])
         distinct, state = np.unique(tokens, return_inverse=True)
         pairs, arc = np.unique(pairs_of(tokens), return_inverse=True)
         count, pair_count = reply_of(replies, 1, len(distinct)), reply_of(replies, 2, len(pairs))
@@ -153,7 +140,8 @@ def score_corpus(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_
         replies.filter("block = -1 AND kind = 1").agg(F.sum("total"), F.sum("distinct")).first()
     )
     return (
-        rows.groupBy("block")
+        shrunk(rows)
+        .groupBy("block")
         .cogroup(replies.filter("block >= 0").groupBy("block"))
         .applyInArrow(_score(train_tokens or 0, vocabulary or 0), SCORED)
     )

@@ -13,6 +13,7 @@ from .fingerprints import fingerprint_edits
 from .lm_score import score_corpus
 from .mixing import mix_sources
 from .near_dedup import near_groups
+from .repeats import remove_repeats
 from .sharding import shard_by_bytes
 from .toxicity import score_toxicity
 
@@ -44,6 +45,10 @@ def op5_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op7_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_lm_score,
         op4_chat_format,
         op5_shard_by_bytes,
+        op7_remove_repeats,
         op8_fingerprints,
         op9_mix_sources,
         op10_decontaminate,
