@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the cluster's shared checkpoint folder.
+def _checkpoint_folder(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder, ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local master, as in tests, may do without that
-    setting; then a temporary folder of this machine serves.
+    Only a local master, as in tests, may do without that setting; then a temporary folder of this machine serves.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -32,9 +31,34 @@ def durable(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="statewise-checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder."""
+    _checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as a Parquet table in the shared checkpoint folder and read from there; for wide rows."""
+    spark = df.sparkSession
+    path = f"{_checkpoint_folder(spark)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+#: Ids up to this number are broadcast (8 MB); above it the join shuffles.
+BROADCAST_IDS = 1_000_000
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``ids`` (one column), with their columns."""
+    ids = durable(ids.toDF("__id").filter("__id IS NOT NULL").distinct())
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(ids, F.col(id_col) == F.col("__id"), "left_anti")
+
+
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text as an array; empty for a null text or one without words."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

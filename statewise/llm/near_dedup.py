@@ -6,12 +6,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import BROADCAST_IDS, durable, without_ids
 from .components import components
 from .fingerprints import mix64
 
@@ -19,14 +20,15 @@ from .fingerprints import mix64
 #: candidates. A pair of similarity 0.8 shares three values in at least one of 20 orders but for 6 pairs in 10 million.
 TREES, DEPTH, LEAST = 20, 6, 3
 SIZE = TREES * DEPTH
-#: A region up to this size is compared as a whole; in a larger one each document meets as many neighbours in order.
-REGION = 64
+#: A region up to this size is compared as a whole; in a larger one each document meets as many neighbours in order,
+#: and the HUBS most like the region's first block, in the first CHAINS trees; what is left open is met in blocks.
+REGION, HUBS, CHAINS = 64, 4, 8
+#: Rows of a block of a large group that are held against each other at once.
+BLOCK = 256
 #: A region beyond this size is dealt to several tasks.
 PART = 20_000
 #: Estimates below this can't come from a pair of similarity 0.8 (five standard deviations).
 LEAST_ESTIMATE = 0.62
-#: Ids of candidates up to this number are broadcast (8 MB); above it the join shuffles.
-BROADCAST_IDS = 1_000_000
 
 _random = np.random.default_rng(20)
 MULTIPLY = (_random.integers(0, 2**31, SIZE, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -125,7 +127,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidates within regions; rows come in order of region, part and the forest's order of signatures.
 
     Of a small region all pairs are put out, those of a spanning forest with first = 1. In a large region each document
-    meets the REGION before it in order and the two most alike are put out; what that leaves open is met in blocks.
+    meets the REGION before it in order and the hubs, and the most alike is put out, in the first CHAINS trees.
     """
     carry = None
 
@@ -143,7 +145,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = np.zeros(len(i), bool)
             for to in np.unique(j):
                 e = np.flatnonzero(j == to)
-                keep[e[np.argsort(-sim[i[e], to], kind="stable")[:2]]] = True
+                keep[e[np.argmax(sim[i[e], to])]] = True
             i, j, first = i[keep], j[keep], np.ones(int(keep.sum()), bool)
         return np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), first
 
@@ -151,17 +153,24 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, n, sig = group
         return ids, n, np.frombuffer(b"".join(sig), np.uint8).reshape(-1, SIZE)
 
-    def region(ids, n, sig, before, last):
+    def region(tree, ids, n, sig, before, last):
         """Blocks of one region; returns the pairs and what later blocks of it must still meet."""
         out, at = [], 0
         if before is None and last and len(ids) <= REGION:
             return [block(ids, n, sig, 0, True)], None
+        if tree >= CHAINS:
+            return [], (ids[-1:], n[-1:], sig[-1:])
         while at < len(ids):
             one = slice(at, at + REGION)
             mine = (ids[one], n[one], sig[one])
-            both = mine if before is None else tuple(np.concatenate(x) for x in zip(before, mine, strict=True))
-            out.append(block(*both, len(both[0]) - len(mine[0]), False))
-            before = mine
+            if before is None:
+                out.append(block(*mine, 0, False))
+                hubs = np.argsort(-likeness(mine[2], mine[2]).sum(axis=1), kind="stable")[:HUBS]
+                before = tuple(np.concatenate([x[hubs], x]) for x in mine)
+            else:
+                both = tuple(np.concatenate(x) for x in zip(before, mine, strict=True))
+                out.append(block(*both, len(before[0]), False))
+                before = tuple(np.concatenate([x[:HUBS], y]) for x, y in zip(before, mine, strict=True))
             at += REGION
         return out, before
 
@@ -174,45 +183,63 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, before = None, None  # rows of a region whose end hasn't come; the block before them
     for batch in batches:
         key = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)])
-        group = (batch.column(2).to_numpy(), batch.column(3).to_numpy(), batch.column(4).to_pylist())
+        trees = batch.column(2).to_numpy()
+        group = (batch.column(3).to_numpy(), batch.column(4).to_numpy(), batch.column(5).to_pylist())
         cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
         found = []
         for lo, hi in zip([0, *cuts], [*cuts, len(key[0])], strict=True):
             if lo == hi:
                 continue
             now = rows(tuple(x[lo:hi] for x in group))
-            name = tuple(key[:, lo])
+            name = (*key[:, lo], int(trees[lo]))
             if carry is not None and name != carry:
-                found += region(*held, before, True)[0]
+                found += region(carry[-1], *held, before, True)[0]
                 held = before = None
             held = now if held is None else tuple(np.concatenate(x) for x in zip(held, now, strict=True))
             carry = name
             whole = len(held[0]) // REGION * REGION - REGION
             if whole > 0:  # a large region: what is surely not its end goes through
-                pairs, before = region(*(x[:whole] for x in held), before, False)
+                pairs, before = region(carry[-1], *(x[:whole] for x in held), before, False)
                 found += pairs
                 held = tuple(x[whole:] for x in held)
         yield emit(found)
     if held is not None:
-        yield emit(region(*held, before, True)[0])
-
-
-def _blocks(key, pdf):
-    """Of one block of a large region and one chunk of its strays: candidates of different components."""
-    import pandas as pd
+        yield emit(region(carry[-1], *held, before, True)[0])
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of left with all of right, by products of incidence matrices."""
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, len(both), 8192):
+        columns = both[lo : lo + 8192]
+        sides = []
+        for sets in (left, right):
+            side = np.zeros((len(sets), len(columns)), np.float32)
+            for i, s in enumerate(sets):
+                side[i, np.searchsorted(columns, s[np.isin(s, columns, assume_unique=True)])] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _blocks(percent: int):
+    def blocks(key, pdf):
+        """Of one block of a large group and one chunk of its strays: a link of each stray to each other component."""
+        stray, rest = pdf[pdf.stray == 1], pdf[pdf.stray == 0]
+        found = []
+        if len(stray) and len(rest):
+            left, right = ([np.frombuffer(x, np.uint64) for x in side.shingles] for side in (stray, rest))
+            n, m = stray.n.to_numpy(), rest.n.to_numpy()
+            both = common_counts(left, right)
+            linked = 100 * both >= percent * (n[:, None] + m[None, :] - both)
+            linked &= stray.label.to_numpy()[:, None] != rest.label.to_numpy()[None, :]
+            i, j = np.nonzero(linked)
+            found = pd.DataFrame({"a": stray.node.to_numpy()[i], "b": rest.node.to_numpy()[j], "l": rest.label.to_numpy()[j]})
+            found = found.drop_duplicates(["a", "l"])[["a", "b"]].to_numpy().tolist()
+        return pd.DataFrame([(min(x), max(x)) for x in found], columns=["a", "b"], dtype="int64")
 
-    stray = pdf[pdf.stray == 1]
-    rest = pdf[pdf.stray == 0]
-    left, right = (np.frombuffer(b"".join(x.sig), np.uint8).reshape(-1, SIZE) for x in (stray, rest))
-    n, m = stray.n.to_numpy(float), rest.n.to_numpy(float)
-    out_a, out_b = [], []
-    for i in range(len(stray)):
-        sim = (left[i] == right).mean(axis=1)
-        good = (sim >= LEAST_ESTIMATE) & (rest.label.to_numpy() != stray.label.iloc[i])
-        good &= np.minimum(n[i], m) >= 0.8 * np.maximum(n[i], m) - 1e-9
-        out_b += rest.node.to_numpy()[good].tolist()
-        out_a += [stray.node.iloc[i]] * int(good.sum())
-    return pd.DataFrame({"a": np.minimum(out_a, out_b).astype(np.int64), "b": np.maximum(out_a, out_b).astype(np.int64)})
+    return blocks
 
 
 def _confirm(percent: int):
@@ -238,7 +265,8 @@ def near_groups(
     region. In a region up to REGION nodes all pairs are candidates; in a larger one the order goes deeper by itself:
     each node meets those before it with the longest common prefixes. Candidates of a spanning forest are confirmed on
     full sets first; what is left is only confirmed between different components. In large regions every node outside
-    the largest component is then held against all nodes of the region, in blocks, so nothing is lost to their size.
+    the largest component is then held against all nodes of the region on full sets, in blocks, so nothing is lost to
+    the region's size. The links returned connect what is alike; not every pair within a component is among them.
 
     Defined results: null or empty texts and texts without words have an empty set and link with nothing; a null id is
     treated as any other node of its own, never linked; rows with one id share its component; repeated rows are all
@@ -249,11 +277,12 @@ def near_groups(
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = durable(signatures(texts, width))
     full = signed.filter("n > 0 AND id IS NOT NULL")
-    rep = full.groupBy("set_key").agg(F.min("id").alias("node"))
-    members = full.select("id", "n", "set_key").join(rep, "set_key")
+    rep = full.groupBy("set_key").agg(F.min("id").alias("node"), F.max("n").alias("n"))
+    # The second key changes no match, but the join deals both sides anew, and a hot set can be split.
+    members = full.select("id", "n", "set_key").join(rep, ["set_key", "n"])
     nodes = durable(
-        full.join(rep.withColumnRenamed("set_key", "k"), (F.col("set_key") == F.col("k")) & (F.col("id") == F.col("node")))
-        .select("node", "n", "keys", "sig")
+        full.join(rep.withColumnRenamed("node", "id"), ["set_key", "id", "n"])
+        .select(F.col("id").alias("node"), "n", "keys", "sig")
     )
     slim = nodes.select("node", F.posexplode("keys").alias("tree", "key"))
     regions = durable(
@@ -269,16 +298,16 @@ def near_groups(
     )
     order = F.expr(f"concat(substring(sig, tree * {DEPTH} + 1, {DEPTH}), sig)")
     candidates = (
-        inside.select("key", "part", "node", "n", "sig", order.alias("order"))
+        inside.select("key", "part", "tree", "node", "n", "sig", order.alias("order"))
         .repartition("key", "part")
         .sortWithinPartitions("key", "part", "order", "node")
-        .select("key", "part", "node", "n", "sig")
+        .select("key", "part", "tree", "node", "n", "sig")
         .mapInArrow(_neighbours, "a long, b long, first int")
     )
     candidates = durable(candidates.groupBy("a", "b").agg(F.max("first").alias("first")))
 
     ends = candidates.select(F.explode(F.array("a", "b")).alias("id"))
-    large = inside.filter(F.col("many") > REGION).select("key", "node", "n", "sig")
+    large = durable(inside.filter(F.col("many") > REGION).select("key", "node").distinct())
     ids = durable(ends.union(large.select("node")).distinct())
     few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     sets = durable(texts.join(few, "id", "left_semi").mapInArrow(_sets(width), "id long, shingles binary"))
@@ -300,27 +329,34 @@ def near_groups(
             .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
         )
 
-    labelled = durable(
-        large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    )
-    by_label = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
+    # Large regions with the same largest component are one group, in which each node stands once.
+    labelled = durable(large.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
     main = (
-        by_label.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.sum("size").alias("many"), (F.sum("size") - F.max("size")).alias("strays"))
+        labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
+        .groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
+    )
+    group = durable(labelled.join(main, "key").select("main", "node", "label").distinct())
+    sizes = (
+        group.groupBy("main")
+        .agg(F.count("*").alias("many"), F.sum((F.col("label") != F.col("main")).cast("int")).alias("strays"))
         .filter("strays > 0")
     )
-    chunks, blocks = F.ceil(F.col("strays") / 256).cast("int"), F.ceil(F.col("many") / 256).cast("int")
-    open_rows = labelled.join(main, "key")
+    chunks, blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("strays", "many"))
+    whole = sets.select(F.col("id").alias("node"), (F.length("shingles") / 8).cast("long").alias("n"), "shingles")
+    open_rows = durable(group.join(sizes, "main").join(whole, "node"))
+    columns = ("node", "n", "shingles", "label")
     strays = open_rows.filter("label <> main").select(
-        "key", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"),
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(1).alias("stray"), "node", "n", "sig", "label",
+        "main", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(1).alias("stray"), *columns,
     )
     others = open_rows.select(
-        "key", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"),
-        F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.lit(0).alias("stray"), "node", "n", "sig", "label",
+        "main", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"),
+        F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.lit(0).alias("stray"), *columns,
+    )
+    met = (
+        strays.unionByName(others).groupBy("main", "chunk", "block").applyInPandas(_blocks(percent), "a long, b long")
     )
-    met = strays.unionByName(others).groupBy("key", "chunk", "block").applyInPandas(_blocks, "a long, b long")
-    rest = candidates.filter("first = 0").select("a", "b").union(met).distinct()
-    more = durable(confirmed(apart(rest)))
+    more = durable(confirmed(apart(candidates.filter("first = 0").select("a", "b"))).union(met))
     links = links.union(more)
     if more.limit(1).count():
         labels = components(links)
@@ -340,3 +376,11 @@ def _sets(width: int):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shingles, pa.binary())], ["id", "shingles"])
 
     return sets
+
+
+def keep_one_of_each(
+    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their group, with their columns. Rows that share an id stay together."""
+    groups, _ = near_groups(docs, width, percent, id_col, text_col)
+    return without_ids(docs, groups.filter("NOT kept").select("doc_id"), id_col)
