@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import without_ids
+
 #: Words of a shingle, and the least similarity in percent.
 WIDTH, PERCENT = 5, 80
 #: A fingerprint has BLOCKS parts of eight bits. Two that differ in at most RADIUS bits differ in at most NEAR bits in
@@ -176,6 +178,5 @@ def leaks(
 
 
 def drop_leaking(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that leak no item, with their columns. Rows that share an id go together."""
-    found = leaks(docs, items, id_col, text_col).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("__leak")), "left_anti")
+    """The rows of ``docs`` that leak no item, with their columns. Rows that share an id go together; null ids stay."""
+    return without_ids(docs, leaks(docs, items, id_col, text_col).select("doc_id"), id_col)

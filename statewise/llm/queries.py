@@ -10,6 +10,7 @@ from .chat_format import chat_digests, format_chats
 from .common import table
 from .decontaminate import leaks
 from .fingerprints import fingerprint_edits
+from .licenses import scan_licenses
 from .lm_score import score_corpus
 from .mixing import mix_sources
 from .near_dedup import near_groups
@@ -45,6 +46,10 @@ def op5_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op6_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_lm_score,
         op4_chat_format,
         op5_shard_by_bytes,
+        op6_scan_licenses,
         op7_remove_repeats,
         op8_fingerprints,
         op9_mix_sources,
