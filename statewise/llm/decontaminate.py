@@ -23,11 +23,14 @@ def spoken(text: Column) -> Column:
 
 
 def shingles(words: Column) -> Column:
-    """Hashes of the runs of WIDTH words, by position; empty for fewer words."""
-    return F.when(
-        F.size(words) >= WIDTH,
-        F.transform(F.sequence(F.lit(1), F.size(words) - (WIDTH - 1)), lambda i: F.xxhash64(F.slice(words, i, WIDTH))),
-    ).otherwise(F.array().cast("array<bigint>"))
+    """Hashes of the runs of WIDTH words, by position; empty for fewer words. ``words`` is a column, not an expression.
+
+    The words after each are taken one by one, as a slice would copy the whole array for every position.
+    """
+    runs = F.transform(words, lambda w, i: F.xxhash64(w, *(F.get(words, i + k) for k in range(1, WIDTH))))
+    return F.when(F.size(words) >= WIDTH, F.slice(runs, F.lit(1), F.size(words) - (WIDTH - 1))).otherwise(
+        F.array().cast("array<bigint>")
+    )
 
 
 def simhash(hashes: Column) -> Column:
@@ -86,12 +89,12 @@ def leaks(
     """
     known = items.select(F.col(item_col).alias("item_id"), spoken(F.col(item_text_col)).alias("w")).select(
         "item_id", F.size("w").alias("n_words"), shingles(F.col("w")).alias("item_sh")
-    ).filter(F.size("item_sh") > 0)
+    ).filter(F.col("n_words") >= WIDTH)
     weight = F.size("item_sh")
     upto = Window.partitionBy("item_id", "n_words", "item_sh").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
     differ = weight - F.ceil(weight * PERCENT / 100) + 1  # the anchors' least weight
     anchors = (
-        known.select("item_id", "n_words", "item_sh", F.explode("item_sh").alias("h"))
+        known.select("item_id", "n_words", "item_sh", F.explode_outer("item_sh").alias("h"))
         .groupBy("item_id", "n_words", "item_sh", "h")
         .count()
         .withColumn("before", F.coalesce(F.sum("count").over(upto), F.lit(0)))
@@ -99,7 +102,7 @@ def leaks(
         .select("h", "n_words")
         .distinct()
     )
-    # An outer explode: for an inner one Spark infers a filter on the size of the array and computes it twice.
+    # Outer explodes: for an inner one Spark infers a filter on the size of the array and computes it once more there.
     read = docs.select(F.col(id_col).alias("doc_id"), spoken(F.col(text_col)).alias("w")).select(
         "doc_id", shingles(F.col("w")).alias("sh")
     )
@@ -138,7 +141,7 @@ def leaks(
         known.withColumn("item_print", simhash(F.col("item_sh")))
         .withColumn("block", F.explode(every_block))
         .withColumn("own", block_of(F.col("item_print"), F.col("block")))
-        .withColumn("value", F.explode(F.filter(F.sequence(F.lit(0), F.lit(255)), lambda v: F.bit_count(v.bitwiseXOR(F.col("own"))) <= NEAR)))
+        .withColumn("value", F.explode_outer(F.filter(F.sequence(F.lit(0), F.lit(255)), lambda v: F.bit_count(v.bitwiseXOR(F.col("own"))) <= NEAR)))
         .drop("own")
     )
     hamming = F.bit_count(F.col("window_print").bitwiseXOR(F.col("item_print")))
@@ -151,16 +154,18 @@ def leaks(
         ),
         True,
     )
+    # One expression, so that each step is only taken for what passed the one before it.
+    confirmed = F.when(hamming <= RADIUS, F.when(first_near == F.col("block") + 1, common))
+    weights = F.size("window_sh") + F.size("item_sh")
     return (
         windows.withColumn("block", F.explode(every_block))
-        .withColumn("value", block_of(F.col("window_print"), F.col("block")))
+        # Never null, or Spark would infer a filter and take the fingerprint once more for it.
+        .withColumn("value", F.coalesce(block_of(F.col("window_print"), F.col("block")), F.lit(-1)))
         .join(_sized(item_keys), ["n_words", "block", "value"])
+        .filter((100 + PERCENT) * confirmed >= PERCENT * weights)  # 100 * common >= PERCENT * (weights - common)
         .withColumn("hamming", hamming)
-        .filter(F.col("hamming") <= RADIUS)
-        .filter(first_near == F.col("block") + 1)
         .withColumn("common", common)
-        .withColumn("union", F.size("window_sh") + F.size("item_sh") - F.col("common"))
-        .filter(100 * F.col("common") >= PERCENT * F.col("union"))
+        .withColumn("union", weights - F.col("common"))
         .withColumn("similarity", F.col("common") / F.col("union"))
         .groupBy("doc_id", "item_id", "n_words")
         .agg(F.min(F.struct((-F.col("similarity")).alias("s"), "start", "hamming")).alias("best"))
