@@ -15,9 +15,14 @@ TOP_BUCKET = "Expert"
 MOVE = "^[a-h][1-8][a-h][1-8]"
 
 
+def _parts(text: Column) -> Column:
+    """What is before and after the first empty line of a game."""
+    return F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), r"\n[ \t]*\n", 2)
+
+
 def header_lines(text: Column) -> Column:
     """The header lines of a game: those before the first empty line."""
-    return F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), r"\n[ \t]*\n", 2)[0]
+    return F.get(_parts(text), F.lit(0))
 
 
 def header(text: Column, name: str, default: str) -> Column:
@@ -42,7 +47,7 @@ def result_score(result: Column) -> Column:
 
 def movetext_tokens(text: Column, depth: int = 4) -> Column:
     """The moves of a game's text in order: no comments, variations (nested to ``depth``), marks, numbers or result."""
-    moves = F.coalesce(F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), r"\n[ \t]*\n", 2)[1], F.lit(""))
+    moves = F.coalesce(F.get(_parts(text), F.lit(1)), F.lit(""))
     moves = F.regexp_replace(moves, r"\{[^}]*\}|;[^\n]*", " ")
     for _ in range(depth):
         moves = F.regexp_replace(moves, r"\([^()]*\)", " ")

@@ -18,7 +18,7 @@ def explode_moves(games: DataFrame, *keep: str, history: int = 2) -> DataFrame:
     moves = F.filter(F.split(F.coalesce("Move_List", F.lit("")), " "), lambda m: m != "")
     bad = F.array_position(F.transform("moves", lambda m: m.rlike(f"{g.MOVE}[qrbn]?$")), False)
     start = F.coalesce(F.nullif(F.col("Position_FEN"), F.lit("")), F.lit(g.START))
-    first_side = F.split("start", " ")[1]
+    first_side = F.coalesce(F.get(F.split("start", " "), F.lit(1)), F.lit("w"))
     return (
         games.select(*keep, start.alias("start"), "White_Elo", "Black_Elo", "Result_Num", moves.alias("moves"))
         .withColumn("moves", F.when(bad > 0, F.slice("moves", F.lit(1), bad.cast("int"))).otherwise(F.col("moves")))
