@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,3 +76,18 @@ def lower_ascii(text: Column) -> Column:
 def utf8_bytes(text: Column) -> Column:
     """Length of ``text`` in UTF-8 bytes; 0 for null."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; each is computed once while it is remembered, of at most so many words."""
+
+    MOST = 300_000
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+    def of(self, words: Sequence[bytes]) -> np.ndarray:
+        if len(self) > self.MOST:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))

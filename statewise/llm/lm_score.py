@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import WordHashes, durable
 from .exchange import (
     REQUEST,
     answers,
@@ -34,19 +34,19 @@ ADD = 0.1
 #: Weight of the lower order: a state that was left n times gives it BACKOFF / (n + BACKOFF).
 BACKOFF = 500.0
 #: The token after the last word; no word holds a line feed.
-END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
+END_MARK = b"\n"
+END = np.uint64(xxhash.xxh3_64_intdigest(END_MARK))
 
 
 def block_tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts, each with its end, and the number of tokens of each text."""
-    hashes, lengths = [], np.empty(len(texts), np.int64)
-    digest = xxhash.xxh3_64_intdigest
+    words, lengths = [], np.empty(len(texts), np.int64)
     for i, text in enumerate(texts):
-        words = text.lower().split()
-        hashes.append(np.fromiter((digest(w) for w in words), np.uint64, len(words)))
-        hashes.append(END[None])
-        lengths[i] = len(words) + 1
-    return (np.concatenate(hashes) if hashes else np.empty(0, np.uint64)), lengths
+        before = len(words)
+        words += text.lower().split()
+        words.append(END_MARK)
+        lengths[i] = len(words) - before
+    return WordHashes().of(words), lengths
 
 
 def pairs_of(tokens: np.ndarray) -> np.ndarray:

@@ -7,11 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import WordHashes, durable
 from .exchange import (
     REQUEST,
     answers,
@@ -34,37 +33,48 @@ KEY = 6
 BEGINS, ENDS = 1, 2
 
 
-def edges(words: list[bytes], k: int) -> np.ndarray:
-    """A 64-bit hash of the k words at each position where k words begin: the edge from their first k-1 to their last."""
-    n = len(words) - k + 1
+#: Odd factor of the hash of a run of words.
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def edges(h: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit hash of the k words (given as hashes) from each position on: the edge from their first k-1 to their last."""
+    n = len(h) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
-    out = h[:n]
+    out = h[:n].copy()
     for i in range(1, k):
-        out = mix64(out) + h[i : i + n]
+        out *= FACTOR
+        out += h[i : i + n]
     return mix64(out)
 
 
-def _block_edges(texts: list[bytes], k: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Edges of each text, all of them cut to keys, and the text that each belongs to."""
-    each = [edges(t.split(), k) for t in texts]
-    owner = np.repeat(np.arange(len(each)), [len(e) for e in each])
-    return each, cut(np.concatenate(each) if each else np.empty(0, np.uint64), KEY), owner
+def _block_edges(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the edges of all texts, the text that each belongs to, and the number of edges of each text."""
+    words, lengths = [], np.empty(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        found = text.split()
+        words += found
+        lengths[i] = len(found)
+    e = edges(WordHashes().of(words), k)
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    # Runs of words that end in the text where they begin.
+    inside = owner[: len(e)] == owner[k - 1 : k - 1 + len(e)]
+    return cut(e[inside], KEY), owner[: len(e)][inside], np.maximum(lengths - k + 1, 0)
 
 
 def _ask_repeats(k: int, buckets: int):
-    """Each block's distinct edges, with the number of its documents that have them."""
+    """Each block's distinct edges, with 1 if one of its documents has them and 2 if more do."""
 
     def work(block: int, texts: list) -> pa.RecordBatch:
-        _, keys, owner = _block_edges([(t or "").encode("utf-8", "surrogatepass") for t in texts], k)
-        order = np.argsort(keys, kind="stable")
+        keys, owner, _ = _block_edges([(t or "").encode("utf-8", "surrogatepass") for t in texts], k)
+        if not len(keys):
+            return request_batch([])
+        order = np.argsort(keys)
         keys, owner = keys[order], owner[order]
-        first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.empty(0, bool)
-        fresh = first.copy()
-        fresh[1:] |= owner[1:] != owner[:-1]
-        counts = np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(first)) if len(keys) else np.empty(0)
-        return request_batch(requests(block, 1, keys[first], counts, KEY, buckets))
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
+        return request_batch(requests(block, 1, keys[first], 1 + several, KEY, buckets))
 
     return lambda batches: by_block(batches, work)
 
@@ -81,14 +91,14 @@ def _mark(k: int):
         """Documents of a block: those without repeated edges are done, the others keep their text and which are repeated."""
         packed = docs.column("packed").to_pylist()
         texts = [grow(p) for p in packed]
-        each, keys, _ = _block_edges(texts, k)
+        keys, _, each = _block_edges(texts, k)
         distinct, index = np.unique(keys, return_inverse=True)
         repeated = (reply_of(replies, 1, len(distinct)) > 1)[index]
         out, at = [], 0
         blocks, ids = docs.column("block").to_pylist(), docs.column("doc_id").to_pylist()
-        for i, e in enumerate(each):
-            mine = repeated[at : at + len(e)]
-            at += len(e)
+        for i, n in enumerate(each.tolist()):
+            mine = repeated[at : at + n]
+            at += n
             words = texts[i].split()
             some = bool(mine.any())
             out.append(
@@ -110,10 +120,10 @@ def _mark(k: int):
     return mark
 
 
-def _repeated_runs(packed: bytes, repeated: bytes, k: int):
+def _repeated_runs(packed: bytes, repeated: bytes, k: int, memo: WordHashes):
     """Words and edges of a text, and its runs of repeated edges."""
     words = grow(packed).split()
-    e = edges(words, k)
+    e = edges(memo.of(words), k)
     marks = np.unpackbits(np.frombuffer(repeated, np.uint8), count=len(e))
     return words, e, [(lo, hi) for lo, hi in runs(marks) if marks[lo]]
 
@@ -127,9 +137,9 @@ def _ask_branches(k: int, buckets: int):
     """Each block's distinct repeated edges, with the one before and after each, or a mark that they differ."""
 
     def work(block: int, packed: list, repeated: list) -> pa.RecordBatch:
-        keys, before, after = [], [], []
+        keys, before, after, memo = [], [], [], WordHashes()
         for p, r in zip(packed, repeated, strict=True):
-            _, e, spans = _repeated_runs(p, r, k)
+            _, e, spans = _repeated_runs(p, r, k, memo)
             for lo, hi in spans:
                 own = e[lo:hi]
                 t = _tags(own)
@@ -167,8 +177,9 @@ PATHS = "block long, row int, doc_id long, start int, length int, first long, di
 def _paths(k: int):
     def paths(docs: pa.Table, replies: pa.Table) -> pa.Table:
         """The nonbranching paths that each document runs through, with their source coordinates and words' digest."""
+        memo = WordHashes()
         held = [
-            (row, doc_id, *_repeated_runs(p, r, k))
+            (row, doc_id, *_repeated_runs(p, r, k, memo))
             for row, doc_id, p, r in zip(*(docs.column(c).to_pylist() for c in ("row", "doc_id", "packed", "repeated")), strict=True)
         ]
         keys = [cut(e[lo:hi], KEY) for _, _, _, e, spans in held for lo, hi in spans]
