@@ -56,7 +56,7 @@ def source_plan(slim: DataFrame, max_epochs: int, weights: int) -> DataFrame:
     cut = (
         ranges.withColumn("end", F.sum("range_size").over(along))
         .join(targets.select(F.col("source").alias("s"), "part"), F.col("source").eqNullSafe(F.col("s")))
-        .filter(F.col("end") > F.col("part"))
+        .filter((F.col("end") > F.col("part")) & (F.col("part") > 0))
         .groupBy("source", "part")
         .agg(F.min(F.struct("range", (F.col("end") - F.col("range_size")).alias("start"))).alias("c"))
         .select(F.col("source").alias("s"), "part", F.col("c.range").alias("range"), F.col("c.start").alias("start"))

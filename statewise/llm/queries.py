@@ -125,7 +125,7 @@ WITH docs AS (
     sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key) AS upto
   FROM docs d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
 ), cut AS (
-  SELECT source, max(key) AS last_key FROM drawn WHERE upto - size / 2.0 <= part GROUP BY source
+  SELECT source, max(key) AS last_key FROM drawn WHERE part > 0 AND upto - size / 2.0 <= part GROUP BY source
 )
 SELECT d.doc_id, d.size, d.source_size, d.target,
   d.size * (d.whole + CASE WHEN d.key <= c.last_key THEN 1 ELSE 0 END) AS taken,

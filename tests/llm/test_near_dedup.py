@@ -3,7 +3,8 @@ from collections import defaultdict
 
 import pytest
 
-from statewise.llm.near_dedup import near_groups
+from statewise.llm import near_dedup
+from statewise.llm.near_dedup import keep_one_of_each, near_groups
 
 
 def brute(rows, width=4, percent=80):
@@ -50,8 +51,9 @@ def corpus(seed):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_components_equal_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "part"), [(1, 1_000), (2, 100)])
+def test_components_equal_brute_force(spark, monkeypatch, seed, part):
+    monkeypatch.setattr(near_dedup, "PART", part)
     rows = corpus(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS node", "1 AS key").repartition(7)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_groups(docs)[0].collect()}
@@ -63,3 +65,8 @@ def test_empty_null_and_repeated_rows(spark):
     docs = spark.createDataFrame([(None, "a b c d e"), (5, "a b c d e"), (5, "a b c d e"), (7, "a b c d e"), (8, None)], "doc_id long, text string")
     got = sorted(map(tuple, near_groups(docs)[0].collect()), key=str)
     assert got == [(5, 2, 5, True), (5, 2, 5, True), (7, 2, 5, False), (8, 0, 8, True), (None, 2, None, True)]
+
+
+def test_keep_one_of_each_keeps_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "A b c d e f", "y"), (3, None, "z"), (None, "q", "w")], "doc_id long, text string, kept string")
+    assert sorted(map(tuple, keep_one_of_each(docs).collect()), key=str) == [(1, "a b c d e f", "x"), (3, None, "z"), (None, "q", "w")]
