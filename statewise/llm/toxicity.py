@@ -12,15 +12,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import WordHashes, durable
+from .fingerprints import mix64
+from .near_dedup import shingle_set
 
+#: Rows whose least hash of five-word shingles is another row's, in any of so many orders, are copies that teach once.
+ORDERS = 4
 #: At most about so many labelled rows teach the model; a larger set is thinned by a hash of the id.
 MOST_LABELLED = 200_000
 #: Beginnings of these lengths are tokens beside the whole word, so inflected forms share what is learned.
 BEGINNINGS = range(4, 10)
 #: Prior count of a token in either class; the least z-score in each half of the training rows, and the least log-odds
 #: in all of them, of a token that speaks for toxicity.
-PRIOR, LEAST_Z, LEAST_LOG_ODDS = 0.5, 2.2, 1.0
+PRIOR, LEAST_Z, LEAST_LOG_ODDS = 0.5, 2.2, 2.0
 #: A token that begins with such a one has log-odds of its own from this count on.
 LEAST_COUNT = 3
 #: Segments expected fewer times than this in a clean text of the same length are passages.
@@ -125,9 +129,32 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: s
         F.col(text_col).alias("text"),
         F.col("__toxic").alias("toxic"),
         F.pmod(F.xxhash64("__id"), F.lit(2)).cast("int").alias("half"),
+        F.col("__id").alias("id"),
     )
 
 
+def without_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` with one of each group of near copies, as far as least hashes tell: else a text that has thousands of
+    copies would make all its words speak for its label."""
+
+    def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = WordHashes()
+        for pdf in batches:
+            ids, keys = [], []
+            for doc_id, text in zip(pdf["id"], pdf["text"], strict=True):
+                s = shingle_set(text, 5, memo)
+                if len(s):
+                    keys += [int(mix64(s * np.uint64(2 * i + 1)).min().astype(np.int64)) for i in range(ORDERS)]
+                    ids += [doc_id] * ORDERS
+            yield pd.DataFrame({"id": ids, "key": keys}, dtype="int64")
+
+    keys = durable(rows.select("id", "text").mapInPandas(least, "id long, key long"))
+    first = keys.groupBy("key").agg(F.min("id").alias("first"))
+    copies = durable(keys.join(first, "key").filter("first < id").select(F.col("id").alias("__copy")).distinct())
+    # Not more than the labelled rows, which are bounded.
+    return rows.join(F.broadcast(copies), F.col("id") == F.col("__copy"), "left_anti")
+
+
 def fit(rows: DataFrame) -> Model:
     """The model of (text, toxic, half) rows.
 
@@ -258,7 +285,7 @@ def held_out(id_col: Column, folds: int) -> Column:
 
 
 def fit_labelled(docs: DataFrame, labels: DataFrame, folds: int = 5, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    return fit(labelled_rows(docs, labels, ~held_out(F.col(id_col), folds), id_col, text_col))
+    return fit(without_copies(labelled_rows(docs, labels, ~held_out(F.col(id_col), folds), id_col, text_col)))
 
 
 def score_toxicity(
