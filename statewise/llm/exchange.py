@@ -17,14 +17,33 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: Rows of a block are a power of two.
 BLOCK_BITS = 12
 REQUEST = "bucket int, block long, kind int, keys binary, counts binary"
 ANSWER = "bucket int, block long, kind int, counts binary, distinct long, total long"
 
 
+def is_scan(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a table of files with projections and filters at most."""
+    plans = [docs._jdf.queryExecution().optimizedPlan()]
+    while plans:
+        node = plans.pop()
+        if node.getClass().getSimpleName() not in ("LogicalRelation", "Project", "Filter"):
+            return False
+        children = node.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return True
+
+
 def with_block(docs: DataFrame) -> DataFrame:
-    """``docs`` with the column block. A scan deals files to partitions by their sizes alone, so it is the same each time."""
+    """``docs`` with the column block, the same each time that it is computed.
+
+    A scan deals files to partitions by their sizes alone. Anything else is stored as files first, as another plan
+    may deal its rows differently for other columns.
+    """
+    docs = docs if is_scan(docs) else stored(docs)
     return docs.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS))
 
 

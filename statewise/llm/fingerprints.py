@@ -169,7 +169,7 @@ def sketch_groups(docs: DataFrame, group_col: str, text_col: str = "text") -> Da
         held = np.empty(0, np.uint64)
         for s in pdf["s"]:
             held = merge(held, from_text(s))
-        return pd.DataFrame({"g": pdf["g"].iloc[:1], "s": [to_text(held)]})
+        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "s": [to_text(held)]})
 
     rows = docs.select(F.col(group_col).cast("string").alias("g"), F.col(text_col).alias("t"))
     return (

@@ -117,10 +117,13 @@ class Scanner:
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, float, list[str], list[str]]]:
         """License, start, length, share saved, missing and added words of every notice found in a text."""
-        out = []
+        out = {}
         for lo, hi in blocks(text or "", self.reach):
-            out += self._block(text[lo:hi], lo)
-        return out
+            # A notice may go on in lines without a cue: if the lines with cues hold none, those around are added.
+            wide = max(0, lo - self.reach), hi + self.reach
+            for x in self._block(text[lo:hi], lo) or self._block(text[wide[0] : wide[1]], wide[0]):
+                out.setdefault((x[1], x[0]), x)
+        return [out[k] for k in sorted(out)]
 
     def _block(self, block: str, at: int) -> list:
         found = words_at(block)

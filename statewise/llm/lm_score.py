@@ -118,8 +118,7 @@ def _score(train_tokens: int, vocabulary: int):
 def score_corpus(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` with its log10 probability under a model learned from all rows outside the held-out fold.
 
-    ``docs`` is a scan of files, perhaps with filters and projections. Counts of all tokens and pairs of all training
-    texts are exact sums over the corpus (exchange.py); no token is dropped or capped, and no table of them is held in
+    Counts of all tokens and pairs of all training texts are exact sums over the corpus (exchange.py); no token is dropped or capped, and no table of them is held in
     one place. The score's smoothing needs only c(hw), c(h) and the base model: p(w|h) = (c(hw) + B p(w)) / (c(h) + B),
     which adds up to 1 over all tokens.
 
