@@ -163,13 +163,13 @@ def sketch_groups(docs: DataFrame, group_col: str, text_col: str = "text") -> Da
         for pdf in batches:
             for group, text in zip(pdf["g"], pdf["t"], strict=True):
                 held[group] = merge(held.get(group, np.empty(0, np.uint64)), sketch(text))
-        yield pd.DataFrame({"g": list(held), "s": [to_text(a) for a in held.values()]})
+        yield pd.DataFrame({"g": list(held), "s": [to_text(a) for a in held.values()]}, dtype=object)
 
     def whole(pdf: pd.DataFrame) -> pd.DataFrame:
         held = np.empty(0, np.uint64)
         for s in pdf["s"]:
             held = merge(held, from_text(s))
-        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "s": [to_text(held)]})
+        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "s": [to_text(held)]}, dtype=object)
 
     rows = docs.select(F.col(group_col).cast("string").alias("g"), F.col(text_col).alias("t"))
     return (
