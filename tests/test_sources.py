@@ -50,3 +50,18 @@ def test_profile_upsert_rewrites_only_touched_buckets(spark, tmp_path):
     assert len(after) == 40 and after["7"] == 1 and after["8"] == 50
     kept = [p for p, t in before.items() if p.exists() and p.stat().st_mtime_ns == t]
     assert len(kept) >= len(before) - 2
+
+
+def test_bucketed_profile_is_not_shuffled_for_lookups(spark):
+    rows = spark.range(500).selectExpr("cast(id % 40 as string) Position_FEN", "'m' Move_Played", "2100 Player_Elo", "1.0D Player_Result")
+    sources.save_bucketed(profile.profile(stats.move_stats(rows)), "looked_up", 8)
+    requests = spark.range(60).selectExpr("cast(id as string) _id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = spark.table("looked_up").join(requests, "_id")
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        found = profile.lookup(requests, spark.table("looked_up"))
+        assert found.filter("found").count() == 40 and found.count() == 60
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 8 out of 8" in plan
