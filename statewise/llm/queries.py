@@ -82,6 +82,51 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+OP1_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached(a, b) AS (
+  SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reached r JOIN both_ways l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS b FROM reached GROUP BY a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, b) AS component_id, d.doc_id = least(d.doc_id, b) AS kept
+FROM docs d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN least ON d.doc_id = a
+"""
+
+OP7_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs WHERE len(w) >= 13)
+), firsts AS (
+  SELECT s, min(doc_id) AS first_id FROM windows GROUP BY s
+), removed AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN firsts USING (s) WHERE first_id < doc_id
+), placed AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM docs
+), kept AS (
+  SELECT x.doc_id, count(*) AS n, string_agg(w[x.p], ' ' ORDER BY x.p) AS text FROM placed x ANTI JOIN removed r ON x.doc_id = r.doc_id AND x.p = r.p
+  GROUP BY x.doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
 OP4_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -170,4 +215,10 @@ SELECT doc_id, item_id, similarity, CAST(start AS INTEGER) AS start, CAST(n_word
 ) WHERE place = 1
 """
 
-SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op9_mix_sources": OP9_SQL, "op10_decontaminate": OP10_SQL}
+SQL: dict[str, str] = {
+    "op1_near_dedup": OP1_SQL,
+    "op7_remove_repeats": OP7_SQL,
+    "op4_chat_format": OP4_SQL,
+    "op9_mix_sources": OP9_SQL,
+    "op10_decontaminate": OP10_SQL,
+}
