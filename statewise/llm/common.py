@@ -81,7 +81,7 @@ def utf8_bytes(text: Column) -> Column:
 class WordHashes(dict):
     """64-bit hashes of words; each is computed once while it is remembered, of at most so many words."""
 
-    MOST = 300_000
+    MOST = 100_000
 
     def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh3_64_intdigest(word)

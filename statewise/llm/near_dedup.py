@@ -284,12 +284,13 @@ def near_groups(
     regions = durable(
         slim.groupBy("key").agg(F.count("*").alias("many"), F.min("node").alias("pivot")).filter("many > 1")
     )
-    parts = F.ceil(F.col("many") / PART)
+    parts = F.ceil(F.col("many") / PART).cast("int")
+    own_part = F.array(F.pmod(F.xxhash64("node"), parts).cast("int"))
+    # The first node of a region that is dealt to several tasks is in each of them.
+    in_parts = F.when(F.col("node") == F.col("pivot"), F.sequence(F.lit(0), parts - 1)).otherwise(own_part)
     inside = (
         slim.join(regions, "key")
-        .withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
-        # the first node of a region that is dealt to several tasks is in each of them
-        .withColumn("part", F.explode(F.when((F.col("node") == F.col("pivot")) & (parts > 1), F.sequence(F.lit(0), parts.cast("int") - 1)).otherwise(F.array("part"))))
+        .withColumn("part", F.explode(in_parts))
         .join(nodes.select("node", "n", "sig"), "node")
     )
     order = F.expr(f"concat(substring(sig, tree * {DEPTH} + 1, {DEPTH}), sig)")
@@ -311,7 +312,8 @@ def near_groups(
     def confirmed(pairs: DataFrame) -> DataFrame:
         x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
         y = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long").distinct()
+        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+        return both.mapInArrow(_confirm(percent), "a long, b long").distinct()
 
     links = durable(confirmed(candidates.filter("first = 1").select("a", "b")))
     labels = components(links)
@@ -326,7 +328,8 @@ def near_groups(
         )
 
     # Large regions with the same largest component are one group, in which each node stands once.
-    labelled = durable(large.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
+    own_label = F.coalesce("label", "node")
+    labelled = durable(large.join(labels, "node", "left").select("key", "node", own_label.alias("label")))
     main = (
         labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
         .groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
@@ -341,26 +344,29 @@ def near_groups(
     whole = sets.select(F.col("id").alias("node"), (F.length("shingles") / 8).cast("long").alias("n"), "shingles")
     open_rows = durable(group.join(sizes, "main").join(whole, "node"))
     columns = ("node", "n", "shingles", "label")
+
+    def dealt(count):
+        """One of ``count`` parts, by the node's hash."""
+        return F.pmod(F.xxhash64("node"), count).cast("int")
+
+    def every(count):
+        return F.explode(F.sequence(F.lit(0), count - 1))
+
     strays = open_rows.filter("label <> main").select(
-        "main", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"),
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(1).alias("stray"), *columns,
+        "main", dealt(chunks).alias("chunk"), every(blocks).alias("block"), F.lit(1).alias("stray"), *columns
     )
     others = open_rows.select(
-        "main", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"),
-        F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.lit(0).alias("stray"), *columns,
-    )
-    met = (
-        strays.unionByName(others).groupBy("main", "chunk", "block").applyInPandas(_blocks(percent), "a long, b long")
+        "main", every(chunks).alias("chunk"), dealt(blocks).alias("block"), F.lit(0).alias("stray"), *columns
     )
+    in_blocks = strays.unionByName(others).groupBy("main", "chunk", "block")
+    met = in_blocks.applyInPandas(_blocks(percent), "a long, b long")
     more = durable(confirmed(apart(candidates.filter("first = 0").select("a", "b"))).union(met))
     links = links.union(more)
     if more.limit(1).count():
         labels = components(links)
-    grouped = (
-        members.join(labels, "node", "left")
-        .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("label", "node").alias("component_id"))
-    )
-    alone = signed.filter("n = 0 OR id IS NULL").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+    named = (F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"))
+    grouped = members.join(labels, "node", "left").select(*named, own_label.alias("component_id"))
+    alone = signed.filter("n = 0 OR id IS NULL").select(*named, F.col("id").alias("component_id"))
     result = grouped.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     return result, links
 

@@ -96,7 +96,7 @@ def passages(model: Model, text: str | None, memo: dict[str, float | None]) -> t
             s = memo[w] = next((model.log_odds[t] for t in tokens_of(w) if t in model.log_odds), None)
         if s is not None:
             hits.append((i, s))
-    if len(memo) > 500_000:
+    if len(memo) > 100_000:
         memo.clear()
     if not hits:
         return [], 0.0
@@ -218,7 +218,7 @@ def fit(rows: DataFrame) -> Model:
                     if w not in memo:
                         memo[w] = next((share[t] for t in tokens_of(w) if t in share), 0.0) > 0
                     out[toxic, 0] += memo[w]
-                if len(memo) > 500_000:
+                if len(memo) > 100_000:
                     memo.clear()
         yield pd.DataFrame({"toxic": [0, 1], "hits": out[:, 0], "all": out[:, 1]})
 
