@@ -68,26 +68,11 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, BLANK_RUN))
 
 
-def lower_ascii(text: Column) -> Column:
-    """``text`` with A-Z in lower case and every other character as it is."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def utf8_bytes(text: Column) -> Column:
     """Length of ``text`` in UTF-8 bytes; 0 for null."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; each is computed once while it is remembered, of at most so many words."""
-
-    MOST = 100_000
-
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: Sequence[bytes]) -> np.ndarray:
-        if len(self) > self.MOST:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def hash_words(words: Sequence[bytes]) -> np.ndarray:
+    """64-bit hashes of words."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, durable
+from .common import durable, hash_words
 from .exchange import (
     REQUEST,
     answers,
@@ -46,7 +46,7 @@ def block_tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         words += text.lower().split()
         words.append(END_MARK)
         lengths[i] = len(words) - before
-    return WordHashes().of(words), lengths
+    return hash_words(words), lengths
 
 
 def pairs_of(tokens: np.ndarray) -> np.ndarray:

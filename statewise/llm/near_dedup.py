@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, WordHashes, durable, without_ids
+from .common import BROADCAST_IDS, durable, hash_words, without_ids
 from .components import components
 from .fingerprints import mix64
 
@@ -36,10 +36,10 @@ FLIP = _random.integers(0, 2**32, SIZE, dtype=np.uint32)[:, None]
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
-def shingle_set(text: str | None, width: int, memo: WordHashes | None = None) -> np.ndarray:
+def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles; a text of fewer words is one shingle; without words, none."""
     # Words ``[^\x20\x09-\x0D]+`` with A-Z in lower case.
-    h = (memo if memo is not None else WordHashes()).of((text or "").encode("utf-8", "surrogatepass").lower().split())
+    h = hash_words((text or "").encode("utf-8", "surrogatepass").lower().split())
     if len(h) < width:
         return np.array([xxhash.xxh3_64_intdigest(h.tobytes(), seed=len(h))], np.uint64) if len(h) else h
     n = len(h) - width + 1
@@ -71,11 +71,10 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """id, n (shingles), set_key (digest of the whole set), keys (of regions), sig (a byte of each signature value)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         for batch in batches:
             n, digests, keys, sigs = [], [], [], []
             for text in batch.column(1):
-                s = shingle_set(text.as_py(), width, memo)
+                s = shingle_set(text.as_py(), width)
                 n.append(len(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 least = signature(s) if len(s) else None
@@ -373,9 +372,8 @@ def near_groups(
 
 def _sets(width: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         for batch in batches:
-            shingles = [shingle_set(text.as_py(), width, memo).tobytes() for text in batch.column(1)]
+            shingles = [shingle_set(text.as_py(), width).tobytes() for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shingles, pa.binary())], ["id", "shingles"])
 
     return sets

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, durable
+from .common import durable, hash_words
 from .exchange import (
     REQUEST,
     answers,
@@ -56,7 +56,7 @@ def _block_edges(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np
         found = text.split()
         words += found
         lengths[i] = len(found)
-    e = edges(WordHashes().of(words), k)
+    e = edges(hash_words(words), k)
     owner = np.repeat(np.arange(len(texts)), lengths)
     # Runs of words that end in the text where they begin.
     inside = owner[: len(e)] == owner[k - 1 : k - 1 + len(e)]
@@ -120,10 +120,10 @@ def _mark(k: int):
     return mark
 
 
-def _repeated_runs(packed: bytes, repeated: bytes, k: int, memo: WordHashes):
+def _repeated_runs(packed: bytes, repeated: bytes, k: int):
     """Words and edges of a text, and its runs of repeated edges."""
     words = grow(packed).split()
-    e = edges(memo.of(words), k)
+    e = edges(hash_words(words), k)
     marks = np.unpackbits(np.frombuffer(repeated, np.uint8), count=len(e))
     return words, e, [(lo, hi) for lo, hi in runs(marks) if marks[lo]]
 
@@ -137,9 +137,9 @@ def _ask_branches(k: int, buckets: int):
     """Each block's distinct repeated edges, with the one before and after each, or a mark that they differ."""
 
     def work(block: int, packed: list, repeated: list) -> pa.RecordBatch:
-        keys, before, after, memo = [], [], [], WordHashes()
+        keys, before, after = [], [], []
         for p, r in zip(packed, repeated, strict=True):
-            _, e, spans = _repeated_runs(p, r, k, memo)
+            _, e, spans = _repeated_runs(p, r, k)
             for lo, hi in spans:
                 own = e[lo:hi]
                 t = _tags(own)
@@ -177,9 +177,8 @@ PATHS = "block long, row int, doc_id long, start int, length int, first long, di
 def _paths(k: int):
     def paths(docs: pa.Table, replies: pa.Table) -> pa.Table:
         """The nonbranching paths that each document runs through, with their source coordinates and words' digest."""
-        memo = WordHashes()
         held = [
-            (row, doc_id, *_repeated_runs(p, r, k, memo))
+            (row, doc_id, *_repeated_runs(p, r, k))
             for row, doc_id, p, r in zip(*(docs.column(c).to_pylist() for c in ("row", "doc_id", "packed", "repeated")), strict=True)
         ]
         keys = [cut(e[lo:hi], KEY) for _, _, _, e, spans in held for lo, hi in spans]

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, durable
+from .common import durable
 from .fingerprints import mix64
 from .near_dedup import shingle_set
 
@@ -138,11 +138,10 @@ def without_copies(rows: DataFrame) -> DataFrame:
     copies would make all its words speak for its label."""
 
     def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = WordHashes()
         for pdf in batches:
             ids, keys = [], []
             for doc_id, text in zip(pdf["id"], pdf["text"], strict=True):
-                s = shingle_set(text, 5, memo)
+                s = shingle_set(text, 5)
                 if len(s):
                     keys += [int(mix64(s * np.uint64(2 * i + 1)).min().astype(np.int64)) for i in range(ORDERS)]
                     ids += [doc_id] * ORDERS
