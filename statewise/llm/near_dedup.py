@@ -317,14 +317,12 @@ def near_groups(
     links = durable(confirmed(candidates.filter("first = 1").select("a", "b")))
     labels = components(links)
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        """The pairs whose ends are not yet in one component."""
+    def between(pairs: DataFrame) -> DataFrame:
+        """The pairs whose ends are not yet in one component, with the labels of both."""
         la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
         lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        return (
-            pairs.join(la, "a", "left").join(lb, "b", "left")
-            .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-        )
+        ends = pairs.join(la, "a", "left").join(lb, "b", "left")
+        return ends.select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).filter("la <> lb")
 
     # Large regions with the same largest component are one group, in which each node stands once.
     own_label = F.coalesce("label", "node")
@@ -359,12 +357,15 @@ def near_groups(
     )
     in_blocks = strays.unionByName(others).groupBy("main", "chunk", "block")
     met = in_blocks.applyInPandas(_blocks(percent), "a long, b long")
-    more = durable(confirmed(apart(candidates.filter("first = 0").select("a", "b"))).union(met))
+    more = durable(confirmed(between(candidates.filter("first = 0").select("a", "b")).select("a", "b")).union(met))
     links = links.union(more)
-    if more.limit(1).count():
-        labels = components(links)
     named = (F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"))
     grouped = members.join(labels, "node", "left").select(*named, own_label.alias("component_id"))
+    if more.limit(1).count():  # they join whole components, so only labels are compared from here on
+        joined = components(between(more).select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        grouped = grouped.join(joined, F.col("component_id") == F.col("node"), "left").select(
+            "doc_id", "n_shingles", F.coalesce("label", "component_id").alias("component_id")
+        )
     alone = signed.filter("n = 0 OR id IS NULL").select(*named, F.col("id").alias("component_id"))
     result = grouped.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     return result, links
