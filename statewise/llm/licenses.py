@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -50,8 +51,8 @@ NOTICES: tuple[tuple[str, str], ...] = (
 )
 #: Words that any notice has; text without them is not compressed.
 CUES = re.compile(r"licen[cs]|copyright|permission|public domain|creative commons|\bcc[ -]?by|\bcc0|redistribut|spdx", re.I)
-#: Notices ranked by compression that are compared word by word, and the greatest share of differing words.
-RANKED, MOST_DIFFERENT = 3, 0.2
+#: The greatest share of a notice's words that may differ.
+MOST_DIFFERENT = 0.2
 #: What a notice's compression must save of a block to be compared at all.
 LEAST_SAVED = 0.2
 
@@ -105,6 +106,7 @@ class Scanner:
 
     def __init__(self, notices=NOTICES):
         self.notices = [(name, [w for w, _, _ in words_at(text)]) for name, text in notices]
+        self.counts = [Counter(notice) for _, notice in self.notices]
         plain = {"level": 9, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
         self.plain = zstandard.ZstdCompressor(**plain)
         self.given = [
@@ -119,19 +121,51 @@ class Scanner:
         """License, start, length, share saved, missing and added words of every notice found in a text."""
         out = {}
         for lo, hi in blocks(text or "", self.reach):
-            # A notice may go on in lines without a cue: if the lines with cues hold none, those around are added.
-            wide = max(0, lo - self.reach), hi + self.reach
-            for x in self._block(text[lo:hi], lo) or self._block(text[wide[0] : wide[1]], wide[0]):
+            # A notice may go on in lines without a cue: if the lines with cues hold none, or not all words of one that
+            # stands with those around, these are added.
+            at = max(0, lo - self.reach)
+            block, wide = text[lo:hi], text[at : hi + self.reach]
+            found = self._block(block, lo)
+            if not found or set(self._possible(words_at(wide))) - set(self._possible(words_at(block))):
+                alone = {x[:3]: x for x in found}
+                more = [alone.get(x[:3], x) for x in self._block(wide, at)]
+                found = more + [x for x in found if all(x[1] + x[2] <= y[1] or y[1] + y[2] <= x[1] for y in more)]
+            for x in found:
                 out.setdefault((x[1], x[0]), x)
         return [out[k] for k in sorted(out)]
 
+    def _possible(self, found: list[tuple[str, int, int]]) -> list[int]:
+        """The notices that may stand by the words of a block in any order; no other can."""
+        held = Counter(w for w, _, _ in found)
+        out = []
+        for i, (_, notice) in enumerate(self.notices):
+            lost = {w: n - held[w] for w, n in self.counts[i].items() if n > held[w]}
+            if sum(lost.values()) <= MOST_DIFFERENT * len(notice) and not any(c.isdigit() for w in lost for c in w):
+                out.append(i)
+        return out
+
     def _block(self, block: str, at: int) -> list:
+        out, parts = [], [(block, at)]
+        while parts:
+            block, at = parts.pop()
+            best = self._best(block)
+            if best is None:
+                continue
+            share, start, end, name, missing, added = best
+            out.append((name, at + start, end - start, share, missing, added))
+            # A block may hold more than one notice: look at what is before and after this one.
+            parts += [x for x in ((block[:start], at), (block[end:], at + end)) if CUES.search(x[0])]
+        return out
+
+    def _best(self, block: str) -> tuple[float, int, int, str, list[str], list[str]] | None:
+        """Share saved, start, end, license, missing and added words of the notice that matches a block best."""
         found = words_at(block)
         raw = block.encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(raw))
-        saved = sorted(((alone - len(c.compress(raw))) / alone, -i) for i, c in enumerate(self.given))[::-1]
+        saved = sorted(((alone - len(self.given[i].compress(raw))) / alone, -i) for i in self._possible(found))[::-1]
         confirmed = []
-        for share, i in saved[:RANKED]:
+        # Exact wording decides, whatever a notice saves: a long one saves more by chance than a short one that is there.
+        for share, i in saved:
             name, notice = self.notices[-i]
             w = wording(notice, [w for w, _, _ in found]) if share >= LEAST_SAVED or len(raw) > self.reach else None
             if w is None:
@@ -141,14 +175,9 @@ class Scanner:
             if len(missing) + len(added) <= MOST_DIFFERENT * len(notice) and not any(c.isdigit() for x in missing + added for c in x):
                 confirmed.append((len(missing) + len(added), -len(notice), -share, first, last, name, missing, added))
         if not confirmed:
-            return []
+            return None
         _, _, share, first, last, name, missing, added = min(confirmed)
-        start, end = found[first][1], found[last - 1][2]
-        here = [(name, at + start, end - start, -share, missing, added)]
-        # A block may hold more than one notice: look at what is before and after this one.
-        before = self._block(block[:start], at) if CUES.search(block[:start]) else []
-        after = self._block(block[end:], at + end) if CUES.search(block[end:]) else []
-        return before + here + after
+        return -share, found[first][1], found[last - 1][2], name, missing, added
 
 
 def licenses_in(text: Column) -> Column:
@@ -166,9 +195,9 @@ def licenses_in(text: Column) -> Column:
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for every license notice in the texts of ``docs``.
 
-    A block of text around the words that notices use is compressed alone and with each notice as a raw dictionary. The
-    notices that save most are compared with it word by word; one stands if at most a fifth of its words differ and no
-    number does. What is left of the block is searched again. Nothing is shuffled.
+    A block of text around the words that notices use is compressed alone and with each notice as a raw dictionary, but
+    for notices that its words rule out. All others are compared with it word by word; one stands if at most a fifth of
+    its words differ and no number does. What is left of the block is searched again. Nothing is shuffled.
 
     Defined results: null and empty texts have no notice; a null id is kept; repeated rows are each searched; notices
     that match equally well go by fewest differing words, then the longest, then what they save; an empty table gives

@@ -13,7 +13,7 @@ from statewise.llm import exchange
 from statewise.llm import fingerprints as fp
 from statewise.llm.exchange import pack, unpack
 from statewise.llm.fingerprints import fingerprint_edits, sketch_groups
-from statewise.llm.licenses import scan_licenses
+from statewise.llm.licenses import NOTICES, scan_licenses
 from statewise.llm.lm_score import BACKOFF, score_corpus
 from statewise.llm.repeats import remove_repeats
 from statewise.llm.toxicity import drop_toxic, score_toxicity, segments
@@ -251,3 +251,30 @@ def test_licenses(spark):
     assert [(x[0], x[2]) for x in found[4]] == [("GPL-3.0", ("license",))] and [x[0] for x in found[9]] == ["MIT"]
     assert set(found) == {1, 2, 4, 8, 9, None}
     assert scan_licenses(frame(spark, [])).collect() == []
+
+
+#: Formal prose that shares many words with the long notices.
+PROSE = (
+    "The trustees may use the files of the society only in compliance with its rules, and any person obtaining a copy of the "
+    "catalogue from the reading room may pass it on to others without restriction as long as the source of each item is named "
+    "and a list of the changes is distributed with it. This work is described in the general report as published by the "
+    "foundation, and the terms and conditions can be found in the first volume, which is free of charge to the public and to "
+    "every later reader of these documents. ",
+    " You may obtain further copies at the office, either by post or in person, subject to the terms that the board has set "
+    "out. Permission is hereby given to quote from the software manual and from the associated papers, and the publisher may, "
+    "at its option, release a new version of the international edition for general use in this form.",
+)
+
+
+def test_every_notice_is_found_in_formal_prose(spark):
+    """Also those that other notices outrank by what they save."""
+    rows = [(i, text.join(PROSE)) for i, (_, text) in enumerate(NOTICES)]
+    got = sorted((r.doc_id, r.license, r.start) for r in scan_licenses(frame(spark, rows)).collect())
+    assert got == [(i, name, len(PROSE[0])) for i, (name, _) in enumerate(NOTICES)]
+
+
+def test_a_long_notice_is_not_cut_to_the_short_one_that_begins_it(spark):
+    first, after = NOTICES[1][1].split(" at ")
+    text = f"{first} at\n\n    {after}"
+    got = [(r.license, text[r.start : r.start + r.length], r.missing, r.added) for r in scan_licenses(frame(spark, [(1, text)])).collect()]
+    assert got == [("Apache-2.0", text, [], [])]
