@@ -53,8 +53,6 @@ NOTICES: tuple[tuple[str, str], ...] = (
 CUES = re.compile(r"licen[cs]|copyright|permission|public domain|creative commons|\bcc[ -]?by|\bcc0|redistribut|spdx", re.I)
 #: The greatest share of a notice's words that may differ.
 MOST_DIFFERENT = 0.2
-#: What a notice's compression must save of a block to be compared at all.
-LEAST_SAVED = 0.2
 
 WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 FOUND = "array<struct<license:string,start:int,length:int,saved:double,missing:array<string>,added:array<string>>>"
@@ -167,7 +165,7 @@ class Scanner:
         # Exact wording decides, whatever a notice saves: a long one saves more by chance than a short one that is there.
         for share, i in saved:
             name, notice = self.notices[-i]
-            w = wording(notice, [w for w, _, _ in found]) if share >= LEAST_SAVED or len(raw) > self.reach else None
+            w = wording(notice, [w for w, _, _ in found])
             if w is None:
                 continue
             first, last, missing, added = w

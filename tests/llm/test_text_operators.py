@@ -278,3 +278,11 @@ def test_a_long_notice_is_not_cut_to_the_short_one_that_begins_it(spark):
     text = f"{first} at\n\n    {after}"
     got = [(r.license, text[r.start : r.start + r.length], r.missing, r.added) for r in scan_licenses(frame(spark, [(1, text)])).collect()]
     assert got == [("Apache-2.0", text, [], [])]
+
+
+def test_a_notice_in_a_short_text_is_found_as_in_a_long_one(spark):
+    """Whatever share of the text it saves."""
+    sizes = (0, 60, 100, 200, 300, 400, len(PROSE[0]))
+    texts = [(name, n, f"{PROSE[0][:n]} {text} {PROSE[1][: n // 3]}") for name, text in NOTICES for n in sizes]
+    got = {r.doc_id: (r.license, r.start) for r in scan_licenses(frame(spark, [(i, x[2]) for i, x in enumerate(texts)])).collect()}
+    assert got == {i: (name, n + 1) for i, (name, n, _) in enumerate(texts)}
