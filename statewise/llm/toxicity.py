@@ -13,11 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable
-from .fingerprints import mix64
-from .near_dedup import shingle_set
+from .near_dedup import near_groups
 
-#: Rows whose least hash of five-word shingles is another row's, in any of so many orders, are copies that teach once.
-ORDERS = 4
+#: Rows of one label that are linked by so many hundredths of common shingles of so many words are copies that teach once.
+ALIKE, WIDTH = 80, 5
 #: At most about so many labelled rows teach the model; a larger set is thinned by a hash of the id.
 MOST_LABELLED = 200_000
 #: Beginnings of these lengths are tokens beside the whole word, so inflected forms share what is learned.
@@ -118,40 +117,34 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: str, text_col: str) -> DataFrame:
-    """(text, toxic, half) of the labelled rows that may teach; their ids are bounded in number, so they are broadcast."""
+    """(text, toxic, half, key) of the labelled rows that may teach; their labels are bounded in number, so they are
+    broadcast. key: of the label, in the order of ids."""
     marks = labels.select(F.col(id_col).alias("__id"), F.col("toxic").cast("int").alias("__toxic")).filter(
         "__id IS NOT NULL AND __toxic IN (0, 1)"
     )
     n = marks.count()
     if n > MOST_LABELLED:
         marks = marks.filter(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(980_000 * MOST_LABELLED / n))
+    # An id may have two labels, so each label has a key of its own.
+    marks = durable(marks.orderBy("__id", "__toxic")).withColumn("__key", F.monotonically_increasing_id())
     return docs.filter(teaches).join(F.broadcast(marks), F.col(id_col) == F.col("__id")).select(
         F.col(text_col).alias("text"),
         F.col("__toxic").alias("toxic"),
         F.pmod(F.xxhash64("__id"), F.lit(2)).cast("int").alias("half"),
-        F.col("__id").alias("id"),
+        F.col("__key").alias("key"),
     )
 
 
 def without_copies(rows: DataFrame) -> DataFrame:
-    """``rows`` with one of each group of near copies, as far as least hashes tell: else a text that has thousands of
-    copies would make all its words speak for its label."""
-
-    def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            ids, keys = [], []
-            for doc_id, text in zip(pdf["id"], pdf["text"], strict=True):
-                s = shingle_set(text, 5)
-                if len(s):
-                    keys += [int(mix64(s * np.uint64(2 * i + 1)).min().astype(np.int64)) for i in range(ORDERS)]
-                    ids += [doc_id] * ORDERS
-            yield pd.DataFrame({"id": ids, "key": keys}, dtype="int64")
-
-    keys = durable(rows.select("id", "text").mapInPandas(least, "id long, key long"))
-    first = keys.groupBy("key").agg(F.min("id").alias("first"))
-    copies = durable(keys.join(first, "key").filter("first < id").select(F.col("id").alias("__copy")).distinct())
+    """``rows`` with the least key of each group of near copies of one label: else a text that has thousands of copies
+    would make all its words speak for its label. Groups are linked by the similarity of full shingle sets, so no row
+    goes that isn't as similar as ALIKE to another of its group."""
+    # With its label before each word, a text has no shingle in common with texts of the other label.
+    marked = F.regexp_replace("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.concat(F.col("toxic").cast("string"), F.lit("$1")))
+    groups, _ = near_groups(rows.select("key", marked.alias("text")), WIDTH, ALIKE, "key")
+    copies = durable(groups.filter("NOT kept").select(F.col("doc_id").alias("__copy")).distinct())
     # Not more than the labelled rows, which are bounded.
-    return rows.join(F.broadcast(copies), F.col("id") == F.col("__copy"), "left_anti")
+    return rows.join(F.broadcast(copies), F.col("key") == F.col("__copy"), "left_anti")
 
 
 def fit(rows: DataFrame) -> Model:

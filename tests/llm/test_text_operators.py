@@ -16,7 +16,7 @@ from statewise.llm.fingerprints import fingerprint_edits, sketch_groups
 from statewise.llm.licenses import NOTICES, scan_licenses
 from statewise.llm.lm_score import BACKOFF, score_corpus
 from statewise.llm.repeats import remove_repeats
-from statewise.llm.toxicity import drop_toxic, score_toxicity, segments
+from statewise.llm.toxicity import drop_toxic, labelled_rows, score_toxicity, segments, without_copies
 
 DOCS = "doc_id long, text string, source string, block long, row int, packed string, h long, at long"
 MORE = ("x", 1, 2, "p", 3, 4)
@@ -225,6 +225,24 @@ def test_toxicity_of_odd_tables(spark):
     assert drop_toxic(frame(spark, rows), labels).columns == frame(spark, rows).columns
 
 
+def test_only_near_copies_of_one_label_teach_once(spark):
+    r = random.Random(8)
+    words = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    passage, text, other = words(60), words(100), words(100)
+    rows = [(i, " ".join([*words(30), *passage, *words(30)])) for i in range(40)]  # a common passage makes no copy
+    rows += [(i, " ".join([*text[: i - 100], "new", *text[i - 99 :]])) for i in range(150, 160)]  # near copies
+    rows += [(i, "\n".join(other)) for i in range(200, 205)]  # exact copies, some with the other label
+    rows += [(300, None), (301, ""), (302, "a b"), (303, "A  b"), (304, " ".join(text[:70]))]
+    toxic = {i: int(i % 2 == 0 if i < 40 else i in (203, 204)) for i, _ in rows}
+    labels = spark.createDataFrame([*toxic.items(), (200, 1)], "doc_id long, toxic int")
+    docs = frame(spark, rows)
+    kept = without_copies(labelled_rows(docs, labels, docs.doc_id.isNotNull(), "doc_id", "text")).select("text", "toxic").collect()
+    text_of = dict(rows)
+    ids = [*range(40), 150, 200, 300, 301, 302, 304]
+    want = [(text_of[i], toxic[i]) for i in ids] + [(text_of[200], 1)]
+    assert Counter((x.text, x.toxic) for x in kept) == Counter(want)
+
+
 # --- licenses -----------------------------------------------------------------------------------------------------
 
 
