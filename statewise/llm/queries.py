@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .chat_format import chat_digests, format_chats
 from .common import table
@@ -12,6 +13,7 @@ from .decontaminate import leaks
 from .fingerprints import fingerprint_edits
 from .licenses import scan_licenses
 from .lm_score import score_corpus
+from .merkle import manifest, tamper
 from .mixing import mix_sources
 from .near_dedup import near_groups
 from .repeats import remove_repeats
@@ -66,6 +68,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hamming")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return manifest(docs, tampered=tamper(F.col("doc_id"), F.col("text"))).proofs().drop("proof")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_fingerprints,
         op9_mix_sources,
         op10_decontaminate,
+        op11_merkle_manifest,
     )
 }
 
@@ -215,7 +223,55 @@ SELECT doc_id, item_id, similarity, CAST(start AS INTEGER) AS start, CAST(n_word
 ) WHERE place = 1
 """
 
+OP11_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, lang, coalesce('=' || lang, '') AS g, text, crc32_hit, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+    sha256(head || CASE WHEN text IS NULL THEN '-' WHEN crc32_hit THEN strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+      ELSE strlen(text) || ':' || text END) AS found
+  FROM (
+    SELECT *, coalesce(xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT), lambda a, c:
+        list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, b: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 3 = 0, false) AS crc32_hit,
+      coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head
+    FROM documents)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM docs
+), tree(g, level, i, h, n) AS (
+  SELECT g, 0, i, leaf, n FROM placed
+  UNION ALL
+  SELECT g, level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM tree WHERE n > 1 GROUP BY g, level, i // 8
+), subroots AS (
+  SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1
+), top(level, i, h, n) AS (
+  SELECT 0, i, h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM top WHERE n > 1 GROUP BY level, i // 8
+), heights AS (
+  SELECT g, max(level) AS height FROM tree GROUP BY g
+), runs AS (
+  SELECT g, level, i // 8 AS run, list(h ORDER BY i) AS hs FROM tree WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT x.g, height + level, t.i // 8, list(t.h ORDER BY t.i) FROM top t, heights x WHERE t.n > 1 GROUP BY x.g, height, level, t.i // 8
+), folded(g, i, level, spot, h, proof) AS (
+  SELECT g, i, 0, i, found, '' FROM placed
+  UNION ALL
+  SELECT f.g, f.i, f.level + 1, CASE WHEN f.level + 1 = height THEN s.i ELSE f.spot // 8 END,
+    sha256(array_to_string(hs[:f.spot % 8] || [f.h] || hs[f.spot % 8 + 2:], '')),
+    proof || array_to_string(hs[:f.spot % 8] || hs[f.spot % 8 + 2:], '')
+  FROM (
+    SELECT f.g, f.i, f.level, CASE WHEN f.level = 0 AND height = 0 THEN s.i ELSE f.spot END AS spot, f.h, f.proof
+    FROM folded f JOIN heights USING (g) JOIN subroots s USING (g)
+  ) f JOIN heights USING (g) JOIN subroots s USING (g) JOIN runs r ON r.g = f.g AND r.level = f.level AND r.run = f.spot // 8
+), ends AS (
+  SELECT g, i, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM folded GROUP BY g, i
+)
+SELECT p.doc_id, p.leaf, s.h AS subroot, t.h AS root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = t.h AS verified
+FROM placed p JOIN subroots s USING (g) JOIN ends e ON e.g = p.g AND e.i = p.i, (SELECT h FROM top WHERE n = 1) t
+"""
+
+
 SQL: dict[str, str] = {
+    "op11_merkle_manifest": OP11_SQL,
     "op1_near_dedup": OP1_SQL,
     "op7_remove_repeats": OP7_SQL,
     "op4_chat_format": OP4_SQL,
