@@ -235,12 +235,17 @@ def _children(blocks: DataFrame, known: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(_above_children, f"group string, block long, above {ABOVE}, subroot string"))
 
 
-def _descend(tiers: list[DataFrame], start: DataFrame) -> DataFrame:
-    """The steps above each block of tier 0, from those above each group's tree (``start``) down through the tiers."""
+def _descend(tiers: list[DataFrame], start: DataFrame | None) -> DataFrame:
+    """The steps above each block of tier 0, from those above each group's tree (``start``; None: there are none) down
+    through the tiers."""
     known = None
     for tier in reversed(tiers):
         # The only block of a group in its last tier; all other blocks are leaves of the tier above.
-        tops = tier.filter(F.col("n") <= 1 << FAN_BITS * BLOCK_HEIGHT).select("group", "block").join(start, "group")
+        tops = tier.filter(F.col("n") <= 1 << FAN_BITS * BLOCK_HEIGHT).select("group", "block")
+        if start is None:
+            tops = tops.withColumns({"above": F.array().cast(ABOVE), "subroot": F.lit(None).cast("string")})
+        else:
+            tops = tops.join(start, "group")
         known = (tops if known is None else tops.unionByName(known)).select("group", "block", "above", "subroot")
         if tier is not tiers[0]:
             known = _children(tier, known)
@@ -308,8 +313,7 @@ class Manifest:
 
     def _above(self) -> DataFrame:
         """For every block of tier 0 of every group: the steps above its root, and its group's root."""
-        nothing = self.subroots.sparkSession.range(1).selectExpr("'' AS group", f"CAST(array() AS {ABOVE}) AS above", "CAST(NULL AS string) AS subroot")
-        over = _children(self.top[0], _descend(self.top, nothing)).drop("group", "subroot")
+        over = _children(self.top[0], _descend(self.top, None)).drop("group", "subroot")
         named = self.subroots.select(F.col("index").alias("block"), F.col("name").alias("group"), F.lower(F.hex("digest")).alias("subroot"))
         return _descend(self.groups, over.join(named, "block").drop("block"))
 

@@ -18,6 +18,7 @@ from .mixing import mix_sources
 from .near_dedup import near_groups
 from .repeats import remove_repeats
 from .sharding import shard_by_bytes
+from .token_alignment import align_tokenizers
 from .toxicity import score_toxicity
 
 #: A text full of control strings, formatted beside the conversations of the table.
@@ -73,6 +74,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(docs, tampered=tamper(F.col("doc_id"), F.col("text"))).proofs().drop("proof")
 
 
+#: Where the public tokenizers lie on the driver's machine.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return align_tokenizers(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_mix_sources,
         op10_decontaminate,
         op11_merkle_manifest,
+        op12_align_tokenizers,
     )
 }
 
