@@ -18,6 +18,7 @@ from .mixing import mix_sources
 from .near_dedup import near_groups
 from .repeats import remove_repeats
 from .sharding import shard_by_bytes
+from .suffix_dedup import remove_repeated_bytes
 from .token_alignment import align_tokenizers
 from .toxicity import score_toxicity
 
@@ -83,6 +84,10 @@ def op12_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")[0]
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_decontaminate,
         op11_merkle_manifest,
         op12_align_tokenizers,
+        op13_suffix_dedup,
     )
 }
 
