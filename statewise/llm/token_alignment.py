@@ -19,13 +19,13 @@ from .common import stored
 from .fingerprints import mix64
 
 #: A block of documents has at most so many rows, and ends after so many characters.
-BLOCK_ROWS, BLOCK_CHARS = 4096, 8_000_000
+BLOCK_ROWS, BLOCK_CHARS = 4096, 3_000_000
 #: Pairs are dealt to buckets by their A id. Pairs are bounded by the vocabularies, so their number need not grow.
 BUCKETS = 32
 #: Rows that a task merges at once.
 MERGED = 64
 #: A task remembers so many segments of at most so many characters; what it forgets is encoded again.
-REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
+REMEMBERED, LONGEST_REMEMBERED = 300_000, 64
 
 #: A text may be cut before a blank that follows a character which isn't white space: no token of either
 #: vocabulary reaches over such a place (``Tokenizers`` checks it), and both have a token that ends there.
@@ -87,14 +87,14 @@ class Tokenizers:
 
 class Segment(NamedTuple):
     """A segment's alignment: numbers of tokens, groups and links, groups as text, and the pair (A id << 32 | B id) of
-    every link, or of some with how many links they have in ``times``."""
+    every link as 8 bytes, or of some with how many links they have in ``times``."""
 
     n_a: int
     n_b: int
     n_groups: int
     n_links: int
     text: str
-    pairs: np.ndarray
+    pairs: bytes
     times: np.ndarray | None
 
 
@@ -157,11 +157,13 @@ def aligned_segments(segments: list[str], both: Tokenizers) -> list[Segment | No
     n_groups, n_links = np.diff(group_to, prepend=0), np.diff(link_to, prepend=0)
     token_to = a_to + b_to
     rows = zip(good, n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), token_to.tolist(), pair_to.tolist(), strict=True)
+    packed = pairs.tobytes()
     token, pair = 0, 0
     for k, (i, x, y, groups, number, to, upto) in enumerate(rows):
-        mine, times = pairs[pair:upto].copy(), None
+        mine, times = packed[8 * pair : 8 * upto], None
         if k in large:
-            mine, times = _with_large_groups(mine, [(a[of_a == g], b[of_b == g]) for g in large[k]])
+            every, times = _with_large_groups(pairs[pair:upto], [(a[of_a == g], b[of_b == g]) for g in large[k]])
+            mine = every.tobytes()
         out[i] = Segment(x, y, groups, number, "".join(shown[token:to])[:-1], mine, times)
         token, pair = to, upto
     return out
@@ -292,10 +294,9 @@ class Encoder:
         # Each document's distinct segments, then their pairs, then each pair's documents with the links in each.
         both, times = np.unique(doc * len(held) + np.concatenate(numbers), return_counts=True)
         doc, segment = np.divmod(both, len(held))
-        none = np.empty(0, np.uint64)
-        used = [none if s is None else s.pairs for s in held]
-        sizes = np.array(list(map(len, used)))
-        pairs = np.concatenate(used)
+        used = [b"" if s is None else s.pairs for s in held]
+        sizes = np.array(list(map(len, used))) // 8
+        pairs = np.frombuffer(b"".join(used), np.uint64)
         links = np.ones(len(pairs), np.int64)
         ends = np.cumsum(sizes)
         for i, s in enumerate(held):
