@@ -45,12 +45,31 @@ def result_score(result: Column) -> Column:
     return out
 
 
-def movetext_tokens(text: Column, depth: int = 4) -> Column:
-    """The moves of a game's text in order: no comments, variations (nested to ``depth``), marks, numbers or result."""
+def main_line(moves: Column) -> Column:
+    """``moves`` without its variations, however deep they are nested.
+
+    The text is cut before every parenthesis, and one pass carries the depth: what stands at depth 0 stays. A ")" that
+    closes nothing is dropped; a "(" that is never closed takes the rest.
+    """
+    parts = F.split(moves, r"(?=[()])")
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept"))
+
+    def step(at: Column, part: Column) -> Column:
+        # An opening parenthesis goes one down, a closing one up, and the first part of a text may begin with neither.
+        turn = F.when(part.startswith("("), 1).when(part.startswith(")"), -1).otherwise(0)
+        depth = F.greatest(F.lit(0), at.depth + turn)
+        return F.struct(depth.alias("depth"), F.when(depth == 0, F.concat(at.kept, F.lit(" "), F.ltrim(part, F.lit("()")))).otherwise(at.kept).alias("kept"))
+
+    return F.when(moves.rlike("[()]"), F.aggregate(parts, start, step, lambda at: at.kept)).otherwise(moves)
+
+
+def movetext_tokens(text: Column) -> Column:
+    """The moves of a game's text in order: no comments, variations (of any depth), marks, numbers or result.
+
+    A "{" that is never closed takes the rest of the text.
+    """
     moves = F.coalesce(F.get(_parts(text), F.lit(1)), F.lit(""))
-    moves = F.regexp_replace(moves, r"\{[^}]*\}|;[^\n]*", " ")
-    for _ in range(depth):
-        moves = F.regexp_replace(moves, r"\([^()]*\)", " ")
+    moves = main_line(F.regexp_replace(moves, r"\{[^}]*(\}|$)|;[^\n]*", " "))
     moves = F.regexp_replace(moves, r"\$[0-9]+|[0-9]+\.+", " ")
     tokens = F.filter(F.split(moves, r"\s+"), lambda t: (t != "") & ~t.isin("1-0", "0-1", "1/2-1/2", "*"))
     return F.transform(tokens, lambda t: F.regexp_replace(t, r"[!?]+$", ""))
@@ -121,14 +140,47 @@ def board_squares(state: Column) -> Column:
     return board
 
 
+#: What stands on a square, empty first; its place here is its digit in a packed board.
+SQUARES = f".{PIECES}"
+DIGITS = "0123456789ABC"
+
+
+def is_board(state: Column) -> Column:
+    """Whether the board of a state has 64 squares, each empty or with a known piece."""
+    return board_squares(state).rlike(f"^[{SQUARES}]{{64}}$")
+
+
+def _planes(squares: Column, symbols: str) -> Column:
+    """For each symbol, where it stands in a text of 64 squares, as 64 numbers 1.0 or 0.0; flattened."""
+    each = F.array(*map(F.lit, symbols))
+    # Within an array of one, the squares are found once and not for every symbol.
+    return F.transform(
+        F.array(F.split(squares, "")), lambda qs: F.flatten(F.transform(each, lambda p: F.transform(qs, lambda q: (q == p).cast("float"))))
+    )[0]
+
+
 def onehot_planes(state: Column) -> Column:
     """12 planes of 8 x 8, flattened: plane by piece, row from the top, 1.0 where the piece stands. Null for a bad board."""
-    board = board_squares(state)
-    squares = F.split(board, "")
-    planes = F.transform(
-        F.array(*(F.lit(p) for p in PIECES)), lambda p: F.transform(squares, lambda q: (q == p).cast("float"))
-    )
-    return F.when(board.rlike(f"^[.{PIECES}]{{64}}$"), F.flatten(planes))
+    return F.when(is_board(state), _planes(board_squares(state), PIECES))
+
+
+def packed_board(state: Column) -> Column:
+    """A board in 32 bytes, four bits for each square from the top left; null for a bad board.
+
+    It holds what 768 numbers do: the form to store, to shuffle and to compare.
+    """
+    return F.when(is_board(state), F.unhex(F.translate(board_squares(state), SQUARES, DIGITS)))
+
+
+def unpacked_planes(packed: Column) -> Column:
+    """The planes of a packed board, as ``onehot_planes`` gives them."""
+    return _planes(F.hex(packed), DIGITS[1:])
+
+
+def set_squares(packed: Column) -> Column:
+    """Which of the 768 numbers of a packed board's planes are 1: one for each piece on the board, by square."""
+    place = F.transform(F.split(F.hex(packed), ""), lambda d, i: F.when(d != "0", (F.instr(F.lit(DIGITS), d) - 2) * 64 + i))
+    return F.filter(place, lambda i: i.isNotNull())
 
 
 def reshape_planes(flat: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from statewise.functions import games as g
 
 #: Reasons in the order in which they are tested.
+CLEAN = "clean"
 REASONS = ("empty", "variant", "rating", "low_rating", "short", "undecided")
 
 
@@ -45,9 +46,8 @@ def judged_games(parsed: DataFrame, least_rating: int = 1500, least_moves: int =
     return rated.withColumn("Reason", F.coalesce(*(F.when(t, F.lit(r)) for t, r in zip(tests, REASONS, strict=True))))
 
 
-def clean_games(judged: DataFrame, *keep: str) -> DataFrame:
-    """The games table, with further columns ``keep``."""
-    return judged.filter("Reason IS NULL").select(
+def _game_columns(*keep: str) -> list:
+    return [
         *keep,
         F.coalesce(F.nullif(F.col("Start"), F.lit("")), F.lit(g.START)).alias("Position_FEN"),
         "White_Elo",
@@ -56,8 +56,18 @@ def clean_games(judged: DataFrame, *keep: str) -> DataFrame:
         "Result_Str",
         "ECO",
         F.array_join("Moves", " ").alias("Move_List"),
-    )
+    ]
+
+
+def clean_games(judged: DataFrame, *keep: str) -> DataFrame:
+    """The games table, with further columns ``keep``."""
+    return judged.filter("Reason IS NULL").select(*_game_columns(*keep))
 
 
 def rejected_games(judged: DataFrame, *keep: str) -> DataFrame:
     return judged.filter("Reason IS NOT NULL").select(*keep, "Reason")
+
+
+def sorted_games(judged: DataFrame, *keep: str) -> DataFrame:
+    """All games with the columns of the games table and Reason, "clean" for those without one against them."""
+    return judged.select(*_game_columns(*keep), F.coalesce("Reason", F.lit(CLEAN)).alias("Reason"))

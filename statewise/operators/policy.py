@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from typing import NamedTuple
+
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, NaiveBayes
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from statewise.functions import games as g
+
 
 def masked_policy(scored: DataFrame, key: str = "_id") -> DataFrame:
     """For each key the best of its candidates and its probability among them.
@@ -70,3 +77,104 @@ def save_policy(model: LogisticRegressionModel, path: str) -> None:
 
 def load_policy(path: str) -> LogisticRegressionModel:
     return LogisticRegressionModel.load(path)
+
+
+# --- boards -------------------------------------------------------------------------------------------------------
+
+#: Numbers that describe a board, of which at most 64 are 1.
+BOARD_SIZE = len(g.PIECES) * 64
+BOARD, TARGET = "packed_board", "target_move"
+MODEL = "target_move int, bias double, weights array<double>"
+
+
+class BoardPolicy(NamedTuple):
+    """A fitted classifier of boards: one row of ``table`` for each target that was seen."""
+
+    table: DataFrame
+    vectors: CountVectorizerModel
+    labels: DataFrame
+    model: object
+
+
+def observed_targets(rows: DataFrame, target: str = TARGET) -> DataFrame:
+    """The targets that occur, numbered 0.. in their order: of 4096 possible moves some never do."""
+    # One row for each distinct target, which are bounded by the move index.
+    return rows.select(target).filter(F.col(target).isNotNull()).distinct().withColumn("label", (F.row_number().over(Window.orderBy(target)) - 1).cast("double"))
+
+
+def fit_boards(rows: DataFrame, kind: str = "softmax", iterations: int = 20) -> BoardPolicy:
+    """A classifier of ``rows`` (packed_board, target_move) among the targets that occur.
+
+    A board enters as a sparse vector of the squares that are set, 32 numbers or fewer in place of 768. ``softmax``
+    is a multinomial regression, whose passes add up gradients over partitions; ``bayes`` counts squares in one pass,
+    for tables that are read once. Rows without a board or target are left out.
+    """
+    spark = rows.sparkSession
+    vectors = _vectors(spark)
+    labels = observed_targets(rows).cache()
+    ready = vectors.transform(_named_squares(rows.filter(f"{BOARD} IS NOT NULL").join(F.broadcast(labels), TARGET)))
+    if kind == "softmax":
+        model = LogisticRegression(maxIter=iterations, family="multinomial").fit(ready)
+        weights, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    elif kind == "bayes":
+        model = NaiveBayes(modelType="multinomial").fit(ready)
+        weights, bias = model.theta.toArray(), model.pi.toArray()
+    else:
+        raise ValueError(f"kind is softmax or bayes, not {kind}")
+    names = [r[TARGET] for r in labels.orderBy("label").collect()]  # at most 4096 numbers
+    # The model is at most 4096 rows of 768 numbers, and the driver holds it anyway.
+    table = pa.table([pa.array(names, pa.int32()), pa.array(bias), pa.array(list(weights), pa.list_(pa.float64()))], names=["target_move", "bias", "weights"])
+    return BoardPolicy(spark.createDataFrame(table, MODEL), vectors, labels, model)
+
+
+def _vectors(spark: SparkSession) -> CountVectorizerModel:
+    return CountVectorizerModel.from_vocabulary([str(i) for i in range(BOARD_SIZE)], "__squares", "features").setBinary(True)
+
+
+def _named_squares(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("__squares", F.transform(g.set_squares(F.col(BOARD)), lambda i: i.cast("string")))
+
+
+def predict_boards(fitted: BoardPolicy, rows: DataFrame) -> DataFrame:
+    """``rows`` with predicted_move, and loss (of the row's own target; null if it was never seen)."""
+    scored = fitted.model.transform(fitted.vectors.transform(_named_squares(rows.join(F.broadcast(fitted.labels), TARGET, "left"))))
+    known = F.broadcast(fitted.labels.select(F.col("label").alias("prediction"), F.col(TARGET).alias("predicted_move")))
+    share = F.try_element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
+    return scored.withColumn("loss", -F.log(share)).join(known, "prediction", "left").drop("label", "__squares", "features", "rawPrediction", "probability", "prediction")
+
+
+def accuracy(predicted: DataFrame) -> DataFrame:
+    """Rows, mean loss and percent of rows whose target was predicted."""
+    hit = F.coalesce(F.col("predicted_move") == F.col(TARGET), F.lit(False)).cast("int")
+    return predicted.agg(F.count("*").alias("n"), F.avg("loss").alias("mean_loss"), (F.avg(hit) * 100).alias("accuracy_percent"))
+
+
+def save_model(table: DataFrame, path: str) -> None:
+    """A model as a Parquet table of one row a target."""
+    table.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_model(spark: SparkSession, path: str) -> DataFrame | None:
+    """The model saved at ``path``, None if there is nothing."""
+    try:
+        return spark.read.schema(MODEL).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def board_policy(model: DataFrame | None, candidates: DataFrame, key: str = "_id") -> DataFrame | None:
+    """The best of each key's candidates and its probability among them; None without a model.
+
+    ``candidates`` has key, ordinal, choice, packed_board and target_move. A candidate's score is its target's bias and
+    the weights of the squares that are set, so only targets that are candidates are scored, and each board and target
+    once, however many keys ask for them. The model has at most 4096 rows and is broadcast. Targets that the model has
+    never seen are no candidates; a key with no others has no answer.
+    """
+    if model is None:
+        return None
+    pairs = candidates.select(BOARD, TARGET).distinct().join(F.broadcast(model), TARGET)
+    weights = F.aggregate(g.set_squares(F.col(BOARD)), F.lit(0.0), lambda s, i: s + F.element_at("weights", i + 1))
+    scored = pairs.select(BOARD, TARGET, (F.col("bias") + weights).alias("logit"))
+    return masked_policy(candidates.join(scored, [BOARD, TARGET]).select(key, "ordinal", "choice", "logit"), key)

@@ -92,6 +92,28 @@ def display_view(documents: DataFrame) -> DataFrame:
     )
 
 
+#: The classifier's title, and what its and the others' numbers are called.
+AI_TITLE, AI_LABEL, LABEL = "Deep Learning AI", "CONFIDENCE", "SUCCESS"
+
+
+def answer_view(answered: DataFrame) -> DataFrame:
+    """The rows that a reader of an answer sees: the classifier first, its confidence with one decimal, then the
+    recommendations with whole percents; parts that an answer lacks have no row."""
+    entry = lambda place, title, label, part, percent: F.when(
+        F.col(part).isNotNull(),
+        F.struct(F.lit(place).alias("place"), F.lit(title).alias("title"), F.col(f"{part}.move").alias("move"), percent.alias("percent"), F.lit(label).alias("label"),
+                 F.col(f"{part}.explanation").alias("explanation")),
+    )
+    ai = F.format_string("%.1f%%", F.col("deep_learning_ai.confidence") * 100)
+    entries = [entry(0, AI_TITLE, AI_LABEL, "deep_learning_ai", ai)]
+    for i, c in enumerate(CATEGORIES):
+        part = f"big_data_stats.{c}"
+        whole = F.concat(F.floor(F.col(f"{part}.win_rate") * 100 + 0.5).cast("string"), F.lit("%"))
+        entries.append(entry(i + 1, TITLES[c], LABEL, part, whole))
+    rows = answered.select("fen", F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+    return rows.select("fen", "e.*")
+
+
 def upsert(base: DataFrame, delta: DataFrame, order_by: str, key: str = "_id") -> DataFrame:
     """``base`` with the last row of each key of ``delta`` in the place of its own; keys only in base stay.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statewise.functions import games as g
@@ -39,16 +39,47 @@ def explode_moves(games: DataFrame, *keep: str, history: int = 2) -> DataFrame:
     )
 
 
-def explode_rows(rows: DataFrame, key: str, order: str, item: str, history: int = 2) -> DataFrame:
+def explode_rows(rows: DataFrame, key: str, order: str | list[str], item: str, history: int = 2, bucket: Column | None = None) -> DataFrame:
     """The same for sequences of one row per step: state is the ``history`` items before, joined; null for the first.
 
-    ``order`` must tell apart the rows of a key. ``rows`` are dealt by key, a window looks back a few rows only.
+    ``order`` must tell apart the rows of a key. With ``bucket``, an expression that never falls along ``order`` (a
+    day, a range of numbers), rows are dealt by key and bucket, so a key of any length fills many tasks. A bucket's
+    last items are carried to the buckets after it: one row for each bucket is all that is dealt by key alone.
+
+    Null items are no part of a state; a null key is a key; rows of a null bucket stand first.
     """
-    w = Window.partitionBy(key).orderBy(order)
-    before = F.array(*(F.lag(item, n).over(w) for n in range(history, 0, -1)))
-    return rows.select(key, order, F.array_compact(before).alias("b"), F.col(item).alias("Move_Played")).select(
-        key, order, F.nullif(F.array_join("b", " "), F.lit("")).alias("Position_FEN"), "Move_Played"
+    order = [order] if isinstance(order, str) else list(order)
+    columns = [key, *order]
+    if bucket is None:
+        w = Window.partitionBy(key).orderBy(*order)
+        before = F.array(*(F.lag(item, n).over(w) for n in range(history, 0, -1)))
+        return _stepped(rows.select(*columns, F.array_compact(before).alias("b"), F.col(item).alias("Move_Played")), columns)
+    dealt = rows.select(*columns, F.col(item).alias("Move_Played"), bucket.alias("__bucket"))
+    inside = Window.partitionBy(key, "__bucket")
+    up, down = inside.orderBy(*order), inside.orderBy(*(F.desc(c) for c in order))
+    lags = F.array(*(F.struct((F.col("__n") > n).alias("there"), F.lag("Move_Played", n).over(up).alias("item")) for n in range(history, 0, -1)))
+    seen = dealt.withColumn("__n", F.row_number().over(up)).withColumn("__lags", lags)
+    # The last items of each bucket, at most ``history``, and from them those before each bucket. A bucket has at
+    # least one item, so the ``history`` buckets before it are enough.
+    tails = (
+        dealt.withColumn("__n", F.row_number().over(down))
+        .filter(F.col("__n") <= history)
+        .groupBy(key, "__bucket")
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("__n")).alias("n"), F.col("Move_Played").alias("item")))), lambda r: r.item).alias("tail"))
     )
+    over = Window.partitionBy(key).orderBy("__bucket")
+    parts = [F.coalesce(F.lag("tail", n).over(over), F.array().cast("array<string>")) for n in range(history, 0, -1)]
+    carried = tails.select(F.col(key).alias("__key"), F.col("__bucket").alias("__b"), F.concat(*parts).alias("__carried"))
+    joined = seen.join(carried, F.col(key).eqNullSafe(F.col("__key")) & F.col("__bucket").eqNullSafe(F.col("__b")), "left")
+    own = F.transform(F.filter("__lags", lambda x: x.there), lambda x: x.item)
+    # The last ``history`` of what came before the bucket and within it.
+    every = F.concat(F.coalesce("__carried", F.array().cast("array<string>")), own)
+    last = F.slice(every, F.greatest(F.lit(1), F.size(every) - (history - 1)), history)
+    return _stepped(joined.select(*columns, F.array_compact(last).alias("b"), "Move_Played"), columns)
+
+
+def _stepped(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*columns, F.nullif(F.array_join("b", " "), F.lit("")).alias("Position_FEN"), "Move_Played")
 
 
 def mover_view(rows: DataFrame, first_moves: str, first_rating: str, second_rating: str, outcome: str) -> DataFrame:
@@ -63,12 +94,19 @@ def expert_rows(positions: DataFrame, least_rating: int = 2000) -> DataFrame:
     return positions.filter(F.col("Player_Elo") >= least_rating)
 
 
-def tensors(positions: DataFrame, least_rating: int = 2000) -> DataFrame:
-    """board_tensor and target_move of expert rows; rows that can't be encoded are left out."""
+def packed_tensors(positions: DataFrame, least_rating: int = 2000) -> DataFrame:
+    """packed_board (32 bytes) and target_move of expert rows; rows that can't be encoded are left out.
+
+    Whether a board can be encoded is asked of its text, so a filter below a join never encodes it.
+    """
+    board = F.col("Position_FEN")
     return (
         expert_rows(positions, least_rating)
-        .select(
-            g.onehot_planes(F.col("Position_FEN")).alias("board_tensor"), g.move_index(F.col("Move_Played")).alias("target_move")
-        )
-        .filter("board_tensor IS NOT NULL AND target_move IS NOT NULL")
+        .filter(g.is_board(board) & F.col("Move_Played").rlike(g.MOVE))
+        .select(g.packed_board(board).alias("packed_board"), g.move_index(F.col("Move_Played")).alias("target_move"))
     )
+
+
+def tensors(positions: DataFrame, least_rating: int = 2000) -> DataFrame:
+    """board_tensor and target_move of expert rows; rows that can't be encoded are left out."""
+    return packed_tensors(positions, least_rating).select(g.unpacked_planes(F.col("packed_board")).alias("board_tensor"), "target_move")

@@ -66,7 +66,8 @@ SELECT o_custkey, count(*) AS plies, @agg(token; ' '; ply)@ AS tokens, @agg(show
   SELECT o_custkey, ply, token, concat(
     CASE WHEN ply % 2 = 1 THEN concat(CAST(CAST(floor((ply + 1) / 2) AS INT) AS VARCHAR(9)), '. ') ELSE '' END, token,
     CASE WHEN o_orderkey % 9 = 0 THEN '!?' ELSE '' END, CASE WHEN o_orderkey % 5 = 0 THEN concat(' ', chr(123), 'see [%clk 0:01:00] e4 (a5) ', chr(125)) ELSE '' END,
-    CASE WHEN o_orderkey % 7 = 0 THEN ' $14' ELSE '' END, CASE WHEN o_orderkey % 11 = 0 THEN ' (1. a3 (1... a6 2. b4) c5)' ELSE '' END) AS shown
+    CASE WHEN o_orderkey % 7 = 0 THEN ' $14' ELSE '' END, CASE WHEN o_orderkey % 11 = 0 THEN ' (1. a3 (1... a6 (2. b4 (2... c5 (3. d4 (3... e5) f4) g5) h4) a6) c5)' ELSE '' END,
+    CASE WHEN o_orderkey % 23 = 0 THEN ' )' ELSE '' END) AS shown
   FROM ({_TOKENS}) t) s GROUP BY o_custkey
 """
 

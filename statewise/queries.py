@@ -249,9 +249,7 @@ def masked_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM keyed LEFT JOIN docs ON _id = id LEFT JOIN best ON ai_id = id"""
 )
 def answer_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = inputs.load(spark, sf_dir, inputs.REQUESTS).select(g.state_key(F.col("fen")).alias("fen")).distinct()
-    ai = _masked(spark, sf_dir).withColumn("_id", F.col("_id").cast("string"))
-    answered, unknown = profile.answers(requests, _profile(spark, sf_dir), ai)
+    answered, unknown = _answers(spark, sf_dir)
     known = answered.select(
         "fen",
         F.col("deep_learning_ai.move").alias("ai_move"),
@@ -267,6 +265,29 @@ def answer_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.unionByName(rest, allowMissingColumns=True)
 
 
+def _answers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    requests = inputs.load(spark, sf_dir, inputs.REQUESTS).select(g.state_key(F.col("fen")).alias("fen")).distinct()
+    ai = _masked(spark, sf_dir).withColumn("_id", F.col("_id").cast("string"))
+    return profile.answers(requests, _profile(spark, sf_dir), ai)
+
+
+@query(
+    DOCS
+    + f""", {MASKED.replace("scored", "options")}, keyed AS (
+      SELECT DISTINCT array_to_string(string_split(trim(fen), ' ')[1:4], ' ') AS id FROM ({inputs.REQUESTS}) r
+    )
+    SELECT fen, place, title, move, percent, label FROM (
+      SELECT id AS fen, 0 AS place, 'Deep Learning AI' AS title, move, printf('%.1f%%', confidence * 100) AS percent, 'CONFIDENCE' AS label
+      FROM keyed JOIN masked ON CAST(masked._id AS VARCHAR) = id
+      UNION ALL SELECT _id, 1, 'The Standard Path', most_popular_move, CAST(CAST(floor(most_popular_win_rate * 100 + 0.5) AS INTEGER) AS VARCHAR) || '%', 'SUCCESS' FROM docs JOIN keyed ON _id = id
+      UNION ALL SELECT _id, 2, 'The Statistical Edge', highest_success_move, CAST(CAST(floor(highest_success_win_rate * 100 + 0.5) AS INTEGER) AS VARCHAR) || '%', 'SUCCESS' FROM docs JOIN keyed ON _id = id
+      UNION ALL SELECT _id, 3, 'The Master''s Secret', pro_choice_move, CAST(CAST(floor(pro_choice_win_rate * 100 + 0.5) AS INTEGER) AS VARCHAR) || '%', 'SUCCESS' FROM docs JOIN keyed ON _id = id
+    ) v WHERE move IS NOT NULL"""
+)
+def answer_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.answer_view(_answers(spark, sf_dir)[0]).drop("explanation")
+
+
 # --- games --------------------------------------------------------------------------------------------------------
 
 TEXTS = f"texts AS ({inputs.GAME_TEXTS})"
@@ -290,32 +311,55 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return game_filter.judged_games(game_filter.parsed_games(_texts(spark, sf_dir)))
 
 
+#: Customers whose games stand in one text.
+IN_A_TEXT = 64
 CORPUS = f"""{TEXTS}, numbered AS (
-  SELECT c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS record, value FROM texts
+  SELECT c_nationkey, c_custkey, concat(c_nationkey, '/', c_custkey // {IN_A_TEXT}) AS path, value,
+    row_number() OVER (PARTITION BY c_nationkey, c_custkey // {IN_A_TEXT} ORDER BY c_custkey) - 1 AS record FROM texts
 )"""
 
 
 def _corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The game texts of each nation as one text, as a file would hold them."""
+    """Game texts joined to texts of several games, as files hold them; each has at most IN_A_TEXT games."""
+    path = F.concat(F.col("c_nationkey").cast("string"), F.lit("/"), F.floor(F.col("c_custkey") / IN_A_TEXT).cast("string"))
     return (
         _texts(spark, sf_dir)
-        .groupBy("c_nationkey")
+        .groupBy(path.alias("path"))
         .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", "value"))), lambda r: r.value), "").alias("value"))
     )
 
 
-@query(f"WITH {CORPUS} SELECT c_nationkey, CAST(record AS INTEGER) AS record, md5(value) AS digest FROM numbered")
+@query(f"WITH {CORPUS} SELECT path, CAST(record AS INTEGER) AS record, md5(value) AS digest FROM numbered")
 def src_game_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.split_records(_corpus(spark, sf_dir), "c_nationkey").select("c_nationkey", "record", F.md5("value").alias("digest"))
+    return sources.split_records(_corpus(spark, sf_dir), "path").select("path", "record", F.md5("value").alias("digest"))
+
+
+def _compressed(batches):
+    import pyarrow as pa
+    import zstandard
+
+    for batch in batches:
+        # Junk before the first game and a byte that isn't UTF-8 after it, in two frames.
+        texts = [f"junk\n{t}".encode() for t in batch.column(1).to_pylist()]
+        halves = [(t[: len(t) // 2], b"\xff" + t[len(t) // 2 :]) for t in texts]
+        content = [b"".join(map(zstandard.ZstdCompressor().compress, h)) for h in halves]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary())], ["path", "content"])
+
+
+@query(f"WITH {CORPUS} SELECT path, record, md5(value) AS digest FROM numbered")
+def src_archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The games of zstandard archives, which Spark makes of the game texts first."""
+    archives = _corpus(spark, sf_dir).mapInArrow(_compressed, "path string, content binary")
+    return sources.archive_records(archives).select("path", "record", F.md5("value").alias("digest"))
 
 
 @query(
-    f"""WITH {CORPUS} SELECT c_nationkey, CAST(record AS INTEGER) AS record, CAST(floor(coalesce(sum(strlen(value)) OVER (
-      PARTITION BY c_nationkey ORDER BY record ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 10000) AS INTEGER) AS piece FROM numbered"""
+    f"""WITH {TEXTS} SELECT c_nationkey, c_custkey, CAST(floor(coalesce(sum(strlen(value)) OVER (
+      PARTITION BY c_nationkey ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 10000) AS INTEGER) AS piece FROM texts"""
 )
 def src_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = sources.split_records(_corpus(spark, sf_dir), "c_nationkey").withColumn("bytes", F.octet_length("value"))
-    return sources.compact_plan(records, ["c_nationkey", "record"], "bytes", 10_000).select("c_nationkey", "record", "piece")
+    records = _texts(spark, sf_dir).withColumn("bytes", F.octet_length("value"))
+    return sources.compact_plan(records, "c_nationkey", "c_custkey", "bytes", 10_000, rows=500).select("c_nationkey", "c_custkey", "piece")
 
 
 @query(f"WITH {JUDGED} SELECT c_custkey, v AS Variant, white AS White_Text, b AS Black_Text, result AS Result_Str, e AS ECO FROM headed")
@@ -348,6 +392,12 @@ def games_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return game_filter.rejected_games(_judged(spark, sf_dir), "c_custkey")
 
 
+@query(f"WITH {JUDGED} SELECT coalesce(reason, 'clean') AS Reason, count(*) AS n FROM reasons GROUP BY 1")
+def games_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that write_judged observes; the files are tested."""
+    return game_filter.sorted_games(_judged(spark, sf_dir)).groupBy("Reason").agg(F.count("*").alias("n"))
+
+
 @query(CLEAN.replace("SELECT c_custkey, '", "SELECT '"))
 def sink_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that write_balanced writes; the files are tested."""
@@ -399,6 +449,15 @@ def sequence_explode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.explode_rows(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role")
 
 
+@query(
+    """SELECT user_id, ts, event_id, nullif(concat_ws(' ', lag(event_type, 3) OVER w, lag(event_type, 2) OVER w, lag(event_type, 1) OVER w), '') AS Position_FEN,
+    event_type AS Move_Played FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+)
+def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of users' event sequences, dealt by user and day."""
+    return sequences.explode_rows(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_type", 3, F.date_trunc("day", "ts"))
+
+
 @query(
     """SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 1000 + conv_id % 1500 ELSE 1200 + conv_id % 1300 END AS Player_Elo,
     CASE WHEN turn % 2 = 0 THEN conv_id % 3 / 2.0::DOUBLE ELSE 1.0 - conv_id % 3 / 2.0::DOUBLE END AS Player_Result FROM conversations"""
@@ -447,12 +506,19 @@ def state_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.load(spark, sf_dir, inputs.BOARDS).select("o_orderkey", g.state_key(F.col("board")).alias("state"))
 
 
+def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boards = inputs.load(spark, sf_dir, inputs.BOARDS)
+    return boards.join(inputs.load(spark, sf_dir, inputs.MOVES), F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.trim("board").alias("Position_FEN"), F.col("move").alias("Move_Played"), F.col("rating").alias("Player_Elo")
+    )
+
+
 def _planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.load(spark, sf_dir, inputs.BOARDS).withColumn("planes", g.onehot_planes(F.trim("board")))
 
 
 def _bits(planes) -> F.Column:
-    return F.array_join(F.transform(planes, lambda x: x.cast("int").cast("string")), "")
+    return F.array_join(F.transform(planes, lambda x: F.when(x == 1, "1").otherwise("0")), "")
 
 
 @query(f"SELECT o_orderkey, length(replace(bits, '0', '')) AS pieces, md5(bits) AS digest FROM {BITS}")
@@ -461,6 +527,12 @@ def onehot_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bits.select("o_orderkey", F.length(F.replace("bits", F.lit("0"))).cast("long").alias("pieces"), F.md5("bits").alias("digest"))
 
 
+@query(f"SELECT o_orderkey, translate(squares, '{g.SQUARES}', '{g.DIGITS}') AS packed, length(replace(squares, '.', '')) AS pieces FROM {BITS}")
+def packed_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = inputs.load(spark, sf_dir, inputs.BOARDS).select("o_orderkey", g.packed_board(F.trim("board")).alias("packed"))
+    return packed.select("o_orderkey", F.hex("packed").alias("packed"), F.size(g.set_squares(F.col("packed"))).cast("long").alias("pieces"))
+
+
 @query(f"SELECT o_orderkey, substr(bits, 5 * 64 + 1, 8) AS top_rank, substr(bits, 5 * 64 + 57, 8) AS bottom_rank, substr(bits, 705, 64) AS last_plane FROM {BITS}")
 def planes_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = _planes(spark, sf_dir).select("o_orderkey", g.reshape_planes(F.col("planes")).alias("cube"))
@@ -478,11 +550,7 @@ def planes_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sink_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that write_tensors writes, tensors as digests; the files are tested."""
-    boards = inputs.load(spark, sf_dir, inputs.BOARDS)
-    positions = boards.join(inputs.load(spark, sf_dir, inputs.MOVES), F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.trim("board").alias("Position_FEN"), F.col("move").alias("Move_Played"), F.col("rating").alias("Player_Elo")
-    )
-    return sequences.tensors(positions).select(F.md5(_bits(F.col("board_tensor"))).alias("board"), "target_move")
+    return sequences.tensors(_positions(spark, sf_dir)).select(F.md5(_bits(F.col("board_tensor"))).alias("board"), "target_move")
 
 
 # --- policy -------------------------------------------------------------------------------------------------------
@@ -517,7 +585,7 @@ def _fitted(spark: SparkSession, sf_dir: str):
 
 @query(None)
 def policy_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loss and accuracy over all rows of a classifier fitted to them."""
+    """Loss and accuracy over all rows of a classifier fitted to at most about MOST_FITTED of them."""
     model, rows = _fitted(spark, sf_dir)
     return policy.eval_metrics(policy.score_policy(model, rows))
 
@@ -528,6 +596,27 @@ def policy_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policy.score_policy(model, rows).select("vec_id", "target", "scores")
 
 
+@query(None)
+def policy_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss and accuracy over all tensors of a one-pass classifier fitted to all of them."""
+    rows = sequences.packed_tensors(_positions(spark, sf_dir))
+    return policy.accuracy(policy.predict_boards(policy.fit_boards(rows, "bayes"), rows))
+
+
+@query(None)
+def answer_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classifier's choice for every order's board among the moves of its lines, from a model of the expert rows."""
+    positions = _positions(spark, sf_dir)
+    model = policy.fit_boards(sequences.packed_tensors(positions), "bayes").table
+    moves = inputs.load(spark, sf_dir, inputs.MOVES)
+    boards = inputs.load(spark, sf_dir, inputs.BOARDS).select("o_orderkey", g.packed_board(F.trim("board")).alias("packed_board"))
+    candidates = boards.join(moves, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_orderkey").alias("_id"), F.col("l_linenumber").alias("ordinal"), F.col("move").alias("choice"), "packed_board",
+        g.move_index(F.col("move")).alias("target_move"),
+    )
+    return policy.board_policy(model, candidates)
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: the profile of every state."""
     return profile_docs(spark, sf_dir)

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from statewise.operators.game_filter import CLEAN, REASONS, sorted_games
 from statewise.operators.profile import upsert
+from statewise.operators.stats import STATE
 
 MARK = "[Event "
+#: So many request keys are broadcast (some 100 bytes each).
+BROADCAST_REQUESTS = 500_000
 
 
 def read_game_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -31,13 +35,137 @@ def split_records(texts: DataFrame, key: str, text_col: str = "value") -> DataFr
     return texts.select(key, F.posexplode(records).alias("record", "value"))
 
 
-def compact_plan(records: DataFrame, order: list[str], size: str, most_bytes: int = 120_000_000) -> DataFrame:
-    """``records`` with the number of the piece that each goes to: a piece ends when it has reached ``most_bytes``.
+def archive_records(archives: DataFrame, key: str = "path", content: str = "content", chunk: int = 1 << 20) -> DataFrame:
+    """One row (key, record, value) for each game of compressed or plain archives, one archive a row of ``archives``.
 
-    Records of one path are cut between records by the running size of that path.
+    An archive is unpacked as a stream: a task holds its compressed bytes, what a sixteenth of ``chunk`` of them
+    unpacks to and the game being read, whatever the size of the text. What is left of a chunk after its last complete game is carried to the next. zstandard (of
+    any number of frames) and gzip are told by their first bytes. Bytes that aren't UTF-8 are skipped; text before the
+    first game is dropped; an empty or null archive has no games; a damaged archive fails the job.
     """
-    w = Window.partitionBy(*order[:-1]).orderBy(order[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    return records.withColumn("piece", F.floor(F.coalesce(F.sum(size).over(w), F.lit(0)) / most_bytes).cast("int"))
+
+    def work(batches):
+        import codecs
+        import io
+        import zlib
+        from itertools import chain
+
+        import pyarrow as pa
+
+        def chunks(data):
+            if data[:4] == b"\x28\xb5\x2f\xfd":
+                import zstandard
+
+                rest, step = data, max(1, chunk >> 4)
+                while rest:
+                    one, at = zstandard.ZstdDecompressor().decompressobj(), 0
+                    while not one.eof:
+                        if at >= len(rest):
+                            raise ValueError("a zstd archive ends within its data")
+                        yield one.decompress(rest[at : at + step])
+                        at += step
+                    rest = one.unused_data + rest[at:]
+            elif data[:2] == b"\x1f\x8b":
+                rest = data
+                while rest:
+                    one = zlib.decompressobj(31)
+                    while not one.eof:
+                        part = one.decompress(rest, chunk)
+                        if not part and not one.unconsumed_tail and not one.eof:
+                            raise ValueError("a gzip archive ends within its data")
+                        yield part
+                        rest = one.unconsumed_tail
+                    rest = one.unused_data
+            else:
+                for i in range(0, len(data), chunk):
+                    yield data[i : i + chunk]
+
+        def records(data):
+            decoder = codecs.getincrementaldecoder("utf-8-sig")("ignore")
+            # ``carry`` is the game being read, without its mark; before the first game, the end of what is dropped.
+            carry, begun = "\n", False
+            for part in chain(map(decoder.decode, chunks(data)), [None]):
+                *complete, carry = (carry + (decoder.decode(b"", True) if part is None else part)).split(f"\n{MARK}")
+                for value in complete:
+                    if begun:
+                        yield f"{MARK}{value}\n"
+                    begun = True
+                if not begun:
+                    carry = carry[-len(MARK) :]
+            if begun:
+                yield MARK + carry
+
+        def batch(rows):
+            keys, numbers, values = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(numbers, pa.int64()), pa.array(values, pa.string())], [key, "record", "value"])
+
+        for given in batches:
+            for name, data in zip(given.column(0).to_pylist(), given.column(1).to_pylist(), strict=True):
+                held, size = [], 0
+                for number, value in enumerate(records(data or b"")):
+                    held.append((name, number, value))
+                    size += len(value)
+                    if size >= 4 * chunk:
+                        yield batch(held)
+                        held, size = [], 0
+                if held:
+                    yield batch(held)
+
+    return archives.select(F.col(key).cast("string").alias(key), content).mapInArrow(work, f"`{key}` string, record long, value string")
+
+
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """The games (path, record, value) of archive files, one task a file; Spark reads files of up to 2 GB in this way."""
+    return archive_records(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def compact_plan(records: DataFrame, key: str, order: str, size: str, most_bytes: int = 120_000_000, rows: int = 4096) -> DataFrame:
+    """``records`` with the number of the piece that each goes to, counted for each ``key``.
+
+    A record goes to the piece in whose ``most_bytes`` it begins, so pieces are cut between records and are longer by
+    less than one record. Records are numbered by ``order`` (0.. or any whole numbers); ``rows`` numbers make a
+    bucket. Running sums are taken in buckets, and over buckets from their totals, so no task holds a whole key.
+    """
+    bucketed_ = records.withColumn("__bucket", F.floor(F.col(order) / rows))
+    before = lambda w: F.coalesce(F.sum("__size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = bucketed_.groupBy(F.col(key).alias("__key"), F.col("__bucket").alias("__b")).agg(F.sum(size).alias("__size"))
+    offsets = totals.withColumn("__offset", before(Window.partitionBy("__key").orderBy("__b"))).drop("__size")
+    inside = Window.partitionBy(key, "__bucket").orderBy(order)
+    placed = bucketed_.withColumn("__size", F.col(size)).withColumn("__own", before(inside))
+    joined = placed.join(offsets, F.col(key).eqNullSafe(F.col("__key")) & F.col("__bucket").eqNullSafe(F.col("__b")))
+    piece = F.floor((F.col("__offset") + F.col("__own")) / most_bytes).cast("int")
+    return joined.withColumn("piece", piece).drop("__bucket", "__size", "__own", "__offset", "__key", "__b")
+
+
+def write_pieces(planned: DataFrame, path: str, key: str, order: str, text_col: str = "value") -> None:
+    """Writes the text of ``planned`` (see ``compact_plan``) under ``path``, one ordered file for each piece.
+
+    A piece is dealt to one task, which writes it row by row. Every record ends with one line feed, which it has
+    already or is given.
+    """
+    rows = planned.select(key, "piece", order, F.regexp_replace(text_col, r"\n\z", "").alias("value"))
+    ordered = rows.repartition(key, "piece").sortWithinPartitions(key, "piece", order)
+    ordered.select(key, "piece", "value").write.partitionBy(key, "piece").mode("overwrite").text(path)
+
+
+def write_judged(judged: DataFrame, path: str, *keep: str) -> dict[str, int]:
+    """Clean games and rejects in one pass: folders by reason ("clean" for none), and the number of rows of each.
+
+    The input is read once; the counts are observed on the way to the files, which are of even size.
+    """
+    seen = Observation()
+    rows = sorted_games(judged, *keep).observe(seen, *(F.count_if(F.col("Reason") == r).alias(r) for r in (CLEAN, *REASONS)))
+    rows.hint("rebalance", "Reason").write.partitionBy("Reason").mode("overwrite").parquet(path)
+    return seen.get
+
+
+def write_positions(positions: DataFrame, name: str, buckets: int = 64, state: str = STATE) -> None:
+    """Positions as a table that is bucketed and sorted by state, so statistics by state and choice don't shuffle rows.
+
+    A state's rows are in one bucket and their combining is one task's work: choose this layout when no state holds
+    more rows than a task should read, and ``write_balanced`` (whose statistics combine before a shuffle) otherwise.
+    """
+    positions.write.bucketBy(buckets, state).sortBy(state).mode("overwrite").saveAsTable(name)
 
 
 def write_balanced(df: DataFrame, path: str, most_rows: int = 0) -> None:
@@ -87,6 +215,21 @@ def upsert_profile(spark: SparkSession, path: str, delta: DataFrame, order_by: s
     )
 
 
+def lookup_in_folders(spark: SparkSession, path: str, requests: DataFrame, buckets: int = 64, key: str = "_id") -> DataFrame:
+    """``profile.lookup`` in a profile written by ``write_profile``: only the folders that requests touch are read.
+
+    Requests get the folder number of their key, and the join on it lets Spark prune folders at run time. That needs
+    requests few enough to broadcast, which is counted first; more of them touch every folder and are joined by a shuffle.
+    """
+    documents = spark.read.parquet(path)
+    folder = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    # A test that every key passes; Spark prunes only for a side that is filtered.
+    asked = requests.filter(F.col(key) >= "").select(key, folder.alias("bucket")).distinct()
+    asked = F.broadcast(asked) if asked.limit(BROADCAST_REQUESTS + 1).count() <= BROADCAST_REQUESTS else asked
+    hits = documents.join(asked, ["bucket", key]).drop("bucket")
+    return requests.join(hits, key, "left").withColumn("found", F.col("total_samples").isNotNull())
+
+
 def save_bucketed(documents: DataFrame, name: str, buckets: int = 64, key: str = "_id") -> None:
     """A profile as a table that is bucketed and sorted by its key: lookups by join don't shuffle it."""
     documents.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(name)

@@ -23,7 +23,7 @@ def test_read_game_texts(spark, tmp_path):
 
 def test_compact_cuts_at_records(spark):
     records = spark.createDataFrame([("p", i, random.Random(i).randrange(1, 50)) for i in range(100)], "path string, record int, bytes int")
-    pieces = sources.compact_plan(records, ["path", "record"], "bytes", 200).groupBy("piece").agg(F.sum("bytes").alias("b")).collect()
+    pieces = sources.compact_plan(records, "path", "record", "bytes", 200, rows=7).groupBy("piece").agg(F.sum("bytes").alias("b")).collect()
     assert len(pieces) > 5 and max(r.b for r in pieces) < 300
 
 
