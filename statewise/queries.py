@@ -11,6 +11,7 @@ from .functions import games as g
 from .operators import game_filter, policy, profile, sequences, stats
 from .plans import inputs
 from .sources import games as sources
+from .sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -553,6 +554,70 @@ def sink_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.tensors(_positions(spark, sf_dir)).select(F.md5(_bits(F.col("board_tensor"))).alias("board"), "target_move")
 
 
+# --- written and read again ---------------------------------------------------------------------------------------
+
+
+@query(f"WITH {CELLS.replace(inputs.CHOICES, STEPS)} SELECT * FROM cells")
+def positions_laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of positions that lie bucketed by state, so they aren't shuffled."""
+    path = scratch_path(spark, "positions")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    sources.write_positions(_steps(spark, sf_dir), name, 16, path=path)
+    return stats.choice_cells(spark.table(name))
+
+
+@query(SCORED + "SELECT Position_FEN, Move_Played, Frequency, Total_Samples, Win_Probability, Popularity_Str, Explanation FROM explained")
+def stats_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stats")
+    sources.write_balanced(_stats(spark, sf_dir), path)
+    return spark.read.parquet(path).select(
+        "Position_FEN", "Move_Played", "Frequency", "Total_Samples", "Win_Probability", "Popularity_Str", "Explanation"
+    )
+
+
+@query(
+    f"""SELECT CAST({MOVE_SQL} AS INTEGER) AS target_move, count(*) AS n, CAST(sum(length(replace(squares, '.', ''))) AS BIGINT) AS pieces FROM {BITS}
+    JOIN ({inputs.MOVES}) m ON o_orderkey = l_orderkey WHERE rating >= 2000 AND regexp_matches(move, '{g.MOVE}') GROUP BY 1"""
+)
+def tensors_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed tensors by target."""
+    path = scratch_path(spark, "tensors")
+    sources.write_balanced(sequences.packed_tensors(_positions(spark, sf_dir)), path)
+    squares = F.size(g.set_squares(F.col("packed_board")))
+    return spark.read.parquet(path).groupBy("target_move").agg(F.count("*").alias("n"), F.sum(squares).alias("pieces"))
+
+
+@query(CLEAN)
+def games_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean games out of the folders that one pass writes."""
+    path = scratch_path(spark, "games")
+    sources.write_judged(_judged(spark, sf_dir), path, "c_custkey")
+    return spark.read.parquet(path).filter(F.col("Reason") == game_filter.CLEAN).drop("Reason")
+
+
+@query(
+    f"""WITH {TEXTS}, placed AS (SELECT c_nationkey, c_custkey, value, CAST(floor(coalesce(sum(strlen(value)) OVER (
+      PARTITION BY c_nationkey ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 10000) AS INTEGER) AS piece FROM texts)
+    SELECT CAST(c_nationkey AS INTEGER) AS c_nationkey, piece, md5(string_agg(value, '' ORDER BY c_custkey)) AS digest FROM placed GROUP BY 1, 2"""
+)
+def pieces_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each piece's text, from its file."""
+    path = scratch_path(spark, "pieces")
+    records = _texts(spark, sf_dir).withColumn("bytes", F.octet_length("value"))
+    sources.write_pieces(sources.compact_plan(records, "c_nationkey", "c_custkey", "bytes", 10_000, rows=500), path, "c_nationkey", "c_custkey")
+    return spark.read.text(path, wholetext=True).select("c_nationkey", "piece", F.md5("value").alias("digest"))
+
+
+@query(SQL["answer_lookup"])
+def folder_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """answer_lookup in a profile of which only the folders that requests touch are read."""
+    path = scratch_path(spark, "profile")
+    sources.write_profile(_profile(spark, sf_dir), path, 16)
+    requests = inputs.load(spark, sf_dir, inputs.REQUESTS).withColumn("_id", g.state_key(F.col("fen")))
+    found = sources.lookup_in_folders(spark, path, requests, 16)
+    return found.select("fen", "_id", "total_samples", F.col("recommendations.most_popular.move").alias("most_popular_move"), "found")
+
+
 # --- policy -------------------------------------------------------------------------------------------------------
 
 
@@ -603,18 +668,54 @@ def policy_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policy.accuracy(policy.predict_boards(policy.fit_boards(rows, "bayes"), rows))
 
 
-@query(None)
+BAYES = f"""boards AS (
+  SELECT o_orderkey, rating, squares FROM {BITS}
+), moves AS (
+  SELECT row_number() OVER () AS id, l_orderkey, l_linenumber, move, CAST({MOVE_SQL} AS INTEGER) AS target FROM ({inputs.MOVES}) m WHERE regexp_matches(move, '{g.MOVE}')
+), squares AS (
+  SELECT o_orderkey, unnest(range(64)) AS i, unnest(string_split(squares, '')) AS p FROM boards
+), stones AS (
+  SELECT o_orderkey, (instr('{g.PIECES}', p) - 1) * 64 + i AS f FROM squares WHERE p <> '.'
+), taught AS (
+  SELECT target, o_orderkey FROM boards JOIN moves ON o_orderkey = l_orderkey WHERE rating >= 2000
+), classes AS (
+  SELECT target, ln(count(*) + 1.0) - ln(sum(count(*)) OVER () + count(*) OVER ()) AS bias FROM taught GROUP BY target
+), seen AS (
+  SELECT target, f, count(*) AS n FROM taught JOIN stones USING (o_orderkey) GROUP BY target, f
+), totals AS (
+  SELECT target, sum(n) AS n FROM seen GROUP BY target
+), asked AS (
+  SELECT id, o_orderkey, l_linenumber, move, target, bias, coalesce(t.n, 0) AS total
+  FROM moves JOIN boards ON o_orderkey = l_orderkey JOIN classes USING (target) LEFT JOIN totals t USING (target)
+), scored AS (
+  SELECT a.o_orderkey, any_value(l_linenumber) AS l_linenumber, any_value(move) AS move,
+    any_value(bias) + coalesce(sum(ln(coalesce(s.n, 0) + 1.0) - ln(total + 768.0)) FILTER (WHERE x.f IS NOT NULL), 0) AS logit
+  FROM asked a LEFT JOIN stones x ON x.o_orderkey = a.o_orderkey LEFT JOIN seen s ON s.target = a.target AND s.f = x.f
+  GROUP BY a.o_orderkey, id
+), tops AS (
+  SELECT o_orderkey, max(logit) AS top FROM scored GROUP BY o_orderkey
+)"""
+
+
+@query(
+    f"""WITH {BAYES} SELECT o_orderkey AS _id, arg_min(move, l_linenumber) FILTER (WHERE logit > top - 1e-9) AS move,
+    round(1 / sum(exp(logit - top)), 6) AS confidence FROM scored JOIN tops USING (o_orderkey) GROUP BY o_orderkey"""
+)
 def answer_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The classifier's choice for every order's board among the moves of its lines, from a model of the expert rows."""
+    """The choice for every order's board among the moves of its lines, by a classifier that is fitted to the tensors
+    of the expert rows, saved, and loaded again."""
     positions = _positions(spark, sf_dir)
-    model = policy.fit_boards(sequences.packed_tensors(positions), "bayes").table
+    path = scratch_path(spark, "model")
+    policy.save_model(policy.fit_boards(sequences.packed_tensors(positions), "bayes").table, path)
     moves = inputs.load(spark, sf_dir, inputs.MOVES)
     boards = inputs.load(spark, sf_dir, inputs.BOARDS).select("o_orderkey", g.packed_board(F.trim("board")).alias("packed_board"))
     candidates = boards.join(moves, F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.col("o_orderkey").alias("_id"), F.col("l_linenumber").alias("ordinal"), F.col("move").alias("choice"), "packed_board",
         g.move_index(F.col("move")).alias("target_move"),
     )
-    return policy.board_policy(model, candidates)
+    chosen = policy.board_policy(policy.load_model(spark, path), candidates)
+    # Equal moves have equal scores up to the last bits; the first of them counts.
+    return chosen.withColumn("confidence", F.round("confidence", 6))
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,13 +159,15 @@ def write_judged(judged: DataFrame, path: str, *keep: str) -> dict[str, int]:
     return seen.get
 
 
-def write_positions(positions: DataFrame, name: str, buckets: int = 64, state: str = STATE) -> None:
+def write_positions(positions: DataFrame, name: str, buckets: int = 64, state: str = STATE, path: str | None = None) -> None:
     """Positions as a table that is bucketed and sorted by state, so statistics by state and choice don't shuffle rows.
 
     A state's rows are in one bucket and their combining is one task's work: choose this layout when no state holds
     more rows than a task should read, and ``write_balanced`` (whose statistics combine before a shuffle) otherwise.
+    Without ``path`` the table lies in the warehouse.
     """
-    positions.write.bucketBy(buckets, state).sortBy(state).mode("overwrite").saveAsTable(name)
+    writer = positions.write.bucketBy(buckets, state).sortBy(state).mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def write_balanced(df: DataFrame, path: str, most_rows: int = 0) -> None:
