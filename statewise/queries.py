@@ -688,7 +688,7 @@ BAYES = f"""boards AS (
   SELECT id, o_orderkey, l_linenumber, move, target, bias, coalesce(t.n, 0) AS total
   FROM moves JOIN boards ON o_orderkey = l_orderkey JOIN classes USING (target) LEFT JOIN totals t USING (target)
 ), scored AS (
-  SELECT a.o_orderkey, any_value(l_linenumber) AS l_linenumber, any_value(move) AS move,
+  SELECT a.o_orderkey, any_value(l_linenumber * 4096 + a.target) AS ordinal, any_value(move) AS move,
     any_value(bias) + coalesce(sum(ln(coalesce(s.n, 0) + 1.0) - ln(total + 768.0)) FILTER (WHERE x.f IS NOT NULL), 0) AS logit
   FROM asked a LEFT JOIN stones x ON x.o_orderkey = a.o_orderkey LEFT JOIN seen s ON s.target = a.target AND s.f = x.f
   GROUP BY a.o_orderkey, id
@@ -698,7 +698,7 @@ BAYES = f"""boards AS (
 
 
 @query(
-    f"""WITH {BAYES} SELECT o_orderkey AS _id, arg_min(move, l_linenumber) FILTER (WHERE logit > top - 1e-9) AS move,
+    f"""WITH {BAYES} SELECT o_orderkey AS _id, arg_min(move, ordinal) FILTER (WHERE logit > top - 1e-9) AS move,
     round(1 / sum(exp(logit - top)), 6) AS confidence FROM scored JOIN tops USING (o_orderkey) GROUP BY o_orderkey"""
 )
 def answer_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -710,11 +710,10 @@ def answer_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     moves = inputs.load(spark, sf_dir, inputs.MOVES)
     boards = inputs.load(spark, sf_dir, inputs.BOARDS).select("o_orderkey", g.packed_board(F.trim("board")).alias("packed_board"))
     candidates = boards.join(moves, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_orderkey").alias("_id"), F.col("l_linenumber").alias("ordinal"), F.col("move").alias("choice"), "packed_board",
-        g.move_index(F.col("move")).alias("target_move"),
+        F.col("o_orderkey").alias("_id"), (F.col("l_linenumber") * 4096 + g.move_index(F.col("move"))).alias("ordinal"), F.col("move").alias("choice"),
+        "packed_board", g.move_index(F.col("move")).alias("target_move"),
     )
     chosen = policy.board_policy(policy.load_model(spark, path), candidates)
-    # Equal moves have equal scores up to the last bits; the first of them counts.
     return chosen.withColumn("confidence", F.round("confidence", 6))
 
 
