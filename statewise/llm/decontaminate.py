@@ -13,8 +13,9 @@ WIDTH, PERCENT = 5, 80
 #: one part, as RADIUS < BLOCKS * (NEAR + 1). Windows of similarity 0.8 differ in 10 of 64 bits on average, with a
 #: standard deviation of 3, so RADIUS leaves out 2 in a million.
 BLOCKS, NEAR, RADIUS = 8, 2, 23
-#: Rows of the benchmark's anchors or block keys up to this number are broadcast (about 64 MB); above, the join shuffles.
-BROADCAST_ROWS = 1_000_000
+#: Rows of anchors or block keys up to this number are broadcast (some 30 bytes each), and items' shingles up to this
+#: number (8 bytes each); above, the join shuffles.
+BROADCAST_ROWS, BROADCAST_SHINGLES = 1_000_000, 4_000_000
 
 
 def spoken(text: Column) -> Column:
@@ -62,6 +63,19 @@ def _sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _met(read: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``read`` (row, doc_id, sh) for each place p of an anchor, with the item that it is of.
+
+    Few anchors are broadcast. Many meet the shingles alone, and what met fetches the document's array once.
+    """
+    small = _sized(anchors)
+    if small is not anchors:
+        # Outer explodes: for an inner one Spark infers a filter on the size of the array and computes it once more there.
+        return read.select("row", "doc_id", "sh", F.posexplode_outer("sh").alias("p", "h")).join(small, "h").drop("h")
+    hits = read.select("row", F.posexplode_outer("sh").alias("p", "h")).join(anchors, "h").select("row", "p", "item", "n_words").distinct()
+    return hits.join(read.dropDuplicates(["row"]), "row")
+
+
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -76,9 +90,10 @@ def leaks(
     PERCENT / 100 of weighted resemblance to it: common shingles over all shingles, each with its multiplicity.
 
     A window that reaches this shares one of the item's anchors, the least shingles by hash that outweigh what may
-    differ; so fingerprints are only taken of the windows that hold an anchor of an item of their length. They are
-    compared with the items' through blocks of eight bits, then exactly. Rows of documents are not shuffled: from each
-    anchor met, only the shingles around it go on.
+    differ; so fingerprints are only taken of the windows that hold an anchor, and each is held against that item's
+    through blocks of eight bits, then exactly. A window meets an item only if both have an anchor in common, however
+    many items have one length. From each anchor met, only the shingles around it go on; the items' shingles join
+    what is left after the fingerprints.
 
     Defined results: texts of fewer than five words, empty and null ones have no shingles and match nothing, as
     documents and as items; a null id is kept as a null id; repeated documents or items give a row for each different
@@ -87,49 +102,52 @@ def leaks(
 
     Returns doc_id, item_id, similarity, start (word, from 0), n_words (of the item), hamming.
     """
-    known = items.select(F.col(item_col).alias("item_id"), spoken(F.col(item_text_col)).alias("w")).select(
-        "item_id", F.size("w").alias("n_words"), shingles(F.col("w")).alias("item_sh")
-    ).filter(F.col("n_words") >= WIDTH)
+    known = (
+        items.select(F.col(item_col).alias("item_id"), spoken(F.col(item_text_col)).alias("w"))
+        .select("item_id", F.size("w").alias("n_words"), shingles(F.col("w")).alias("item_sh"))
+        .filter(F.col("n_words") >= WIDTH)
+        .withColumn("item", F.xxhash64("n_words", "item_sh"))
+    )
+    texts = known.select("item", "n_words", "item_sh").distinct()
     weight = F.size("item_sh")
-    upto = Window.partitionBy("item_id", "n_words", "item_sh").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("item", "n_words", "item_sh").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
     differ = weight - F.ceil(weight * PERCENT / 100) + 1  # the anchors' least weight
     anchors = (
-        known.select("item_id", "n_words", "item_sh", F.explode_outer("item_sh").alias("h"))
-        .groupBy("item_id", "n_words", "item_sh", "h")
+        texts.select("item", "n_words", "item_sh", F.explode_outer("item_sh").alias("h"))
+        .groupBy("item", "n_words", "item_sh", "h")
         .count()
         .withColumn("before", F.coalesce(F.sum("count").over(upto), F.lit(0)))
         .filter(F.col("before") < differ)
-        .select("h", "n_words")
+        .select("h", "item", "n_words")
         .distinct()
     )
-    # Outer explodes: for an inner one Spark infers a filter on the size of the array and computes it once more there.
-    read = docs.select(F.col(id_col).alias("doc_id"), spoken(F.col(text_col)).alias("w")).select(
-        "doc_id", shingles(F.col("w")).alias("sh")
+    read = (
+        docs.select(F.col(id_col).alias("doc_id"), spoken(F.col(text_col)).alias("w"))
+        .select("doc_id", shingles(F.col("w")).alias("sh"))
+        .select(F.xxhash64("doc_id", "sh").alias("row"), "doc_id", "sh")
     )
     # A window holds n_words - 4 shingles; those around an anchor at p stand within that distance of it.
     reach = F.col("n_words") - WIDTH
-    met = (
-        read.select("doc_id", "sh", F.posexplode_outer("sh").alias("p", "h"))
-        .join(_sized(anchors), "h")
-        .select(
-            "doc_id",
-            "n_words",
-            "p",
-            F.xxhash64("doc_id", "sh").alias("row"),
-            F.greatest(F.lit(0), F.size("sh") - (F.col("n_words") - WIDTH + 1)).alias("last"),
-            F.greatest(F.lit(0), F.col("p") - reach).alias("from"),
-            F.slice("sh", F.greatest(F.lit(0), F.col("p") - reach) + 1, 2 * reach + 1).alias("around"),
-        )
+    met = _met(read, anchors).select(
+        "doc_id",
+        "item",
+        "n_words",
+        "p",
+        "row",
+        F.greatest(F.lit(0), F.size("sh") - (F.col("n_words") - WIDTH + 1)).alias("last"),
+        F.greatest(F.lit(0), F.col("p") - reach).alias("from"),
+        F.slice("sh", F.greatest(F.lit(0), F.col("p") - reach) + 1, 2 * reach + 1).alias("around"),
     )
-    along = Window.partitionBy("row", "n_words").orderBy("p")
+    along = Window.partitionBy("row", "item").orderBy("p")
     windows = (
         met.withColumn("prev", F.lag("p").over(along))  # windows that hold the anchor before are its
         .withColumn("lo", F.greatest("from", F.coalesce(F.col("prev") + 1, F.lit(0))))
         .withColumn("hi", F.least("p", "last"))
         .filter("lo <= hi")
-        .select("doc_id", "n_words", "from", "around", F.explode(F.sequence("lo", "hi")).alias("start"))
+        .select("doc_id", "item", "n_words", "from", "around", F.explode(F.sequence("lo", "hi")).alias("start"))
         .select(
             "doc_id",
+            "item",
             "n_words",
             "start",
             F.slice("around", F.col("start") - F.col("from") + 1, F.col("n_words") - WIDTH + 1).alias("window_sh"),
@@ -138,7 +156,7 @@ def leaks(
     )
     every_block = F.sequence(F.lit(0), F.lit(BLOCKS - 1))
     item_keys = (
-        known.withColumn("item_print", simhash(F.col("item_sh")))
+        texts.select("item", simhash(F.col("item_sh")).alias("item_print"))
         .withColumn("block", F.explode(every_block))
         .withColumn("own", block_of(F.col("item_print"), F.col("block")))
         .withColumn("value", F.explode_outer(F.filter(F.sequence(F.lit(0), F.lit(255)), lambda v: F.bit_count(v.bitwiseXOR(F.col("own"))) <= NEAR)))
@@ -154,16 +172,20 @@ def leaks(
         ),
         True,
     )
-    # One expression, so that each step is only taken for what passed the one before it.
-    confirmed = F.when(hamming <= RADIUS, F.when(first_near == F.col("block") + 1, common))
+    # One expression, so that the second step is only taken for what passed the first.
+    near = F.when(hamming <= RADIUS, first_near == F.col("block") + 1)
     weights = F.size("window_sh") + F.size("item_sh")
+    size = known.agg(F.sum(F.size("item_sh"))).first()[0] or 0
+    wanted = known.select("item", "item_id", "item_sh")
     return (
         windows.withColumn("block", F.explode(every_block))
         # Never null, or Spark would infer a filter and take the fingerprint once more for it.
         .withColumn("value", F.coalesce(block_of(F.col("window_print"), F.col("block")), F.lit(-1)))
-        .join(_sized(item_keys), ["n_words", "block", "value"])
-        .filter((100 + PERCENT) * confirmed >= PERCENT * weights)  # 100 * common >= PERCENT * (weights - common)
+        .join(_sized(item_keys), ["item", "block", "value"])
+        .filter(near)
         .withColumn("hamming", hamming)
+        .join(F.broadcast(wanted) if size <= BROADCAST_SHINGLES else wanted, "item")
+        .filter((100 + PERCENT) * common >= PERCENT * weights)  # 100 * common >= PERCENT * (weights - common)
         .withColumn("common", common)
         .withColumn("union", weights - F.col("common"))
         .withColumn("similarity", F.col("common") / F.col("union"))

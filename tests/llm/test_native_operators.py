@@ -7,8 +7,10 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
+from statewise.llm import decontaminate
 from statewise.llm.chat_format import chat_digests, escape, format_chats, read_turns, unescape
 from statewise.llm.decontaminate import drop_leaking, leaks
 from statewise.llm.mixing import mix_sources, mixed_rows
@@ -156,7 +158,11 @@ def brute_leaks(docs, items):
     return {(d, i, -s, at) for (d, i), (s, at) in out.items()}
 
 
-def test_leaks_equal_brute_force(spark):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_leaks_equal_brute_force(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 0)
     r = random.Random(5)
     word = lambda: r.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa".split())
     items = [(i, " ".join(word() for _ in range(r.randrange(5, 40)))) for i in range(15)] + [(50, "la la la la la la la la"), (51, "too short"), (52, None)]
@@ -178,6 +184,31 @@ def test_leaks_equal_brute_force(spark):
     assert kept == {d for d, _ in docs} - {x[0] for x in want} and drop_leaking(a, b).columns == a.columns
 
 
+def test_many_items_of_one_length_are_not_held_against_all_windows(spark, monkeypatch):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(words, k=20))) for i in range(5000)]
+    docs = [(i, " ".join([*rng.choices(words, k=30), items[7 * i][1], *rng.choices(words, k=30)])) for i in range(200)]
+    rows = []
+
+    def spy(read, anchors, real=decontaminate._met):
+        out = real(read, anchors)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(decontaminate, "_met", spy)
+    got = leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, 7 * i) for i in range(200)]
+    assert rows[0] < 10 * 200
+
+
+def test_a_very_long_text_leaks_at_its_end(spark):
+    item = " ".join(f"q{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, "the same words again " * 25_000 + item), (2, "x " * 100_000)], "doc_id long, text string")
+    got = leaks(docs, spark.createDataFrame([(3, item), (4, "the same words again the same words again")], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.start) for r in sorted(got, key=lambda r: r.item_id)] == [(1, 3, 100_000), (1, 4, 0)]
+
+
 def test_leaks_of_odd_tables(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f")], "doc_id long, text string")
     items = spark.createDataFrame([(7, "A b c d e f"), (7, "A b c d e f")], "item_id long, text string")
