@@ -51,7 +51,9 @@ def segments(scores: list[tuple[int, float]], background: float) -> list[tuple[i
     ``scores`` has the positions that differ from the background, ascending. Every segment kept has the cumulative sum
     before it and at its end; a new one joins those that it can only gain from.
     """
-    kept: list[tuple[int, int, float, float]] = []
+    # First, last, the sums before and at the end, and the last segment before it whose left sum is smaller. Between
+    # the two all left sums are larger, so a search by these links passes no segment twice and the scan is linear.
+    kept: list[tuple[int, int, float, float, int]] = []
     total, at = 0.0, 0
     for i, s in scores:
         total += background * (i - at)
@@ -61,16 +63,17 @@ def segments(scores: list[tuple[int, float]], background: float) -> list[tuple[i
             continue
         first, last, left, right = i, i, total, total + s
         total = right
+        j = len(kept) - 1
         while True:
-            j = len(kept) - 1
             while j >= 0 and kept[j][2] >= left:
-                j -= 1
+                j = kept[j][4]
             if j < 0 or kept[j][3] >= right:
-                kept.append((first, last, left, right))
+                kept.append((first, last, left, right, j))
                 break
-            first, left = kept[j][0], kept[j][2]
+            first, _, left, _, before = kept[j]
             del kept[j:]
-    return [(a, b, r - le) for a, b, le, r in kept]
+            j = before
+    return [(a, b, r - le) for a, b, le, r, _ in kept]
 
 
 def tokens_of(word: str) -> list[str]:
