@@ -29,6 +29,8 @@ BLOCK = 256
 PART = 1_000
 #: Estimates below this can't come from a pair of similarity 0.8 (five standard deviations).
 LEAST_ESTIMATE = 0.62
+#: The least similarity that the forest is made for.
+LEAST_PERCENT = 80
 
 _random = np.random.default_rng(20)
 MULTIPLY = (_random.integers(0, 2**31, SIZE, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -265,10 +267,13 @@ def near_groups(
 
     Defined results: null or empty texts and texts without words have an empty set and link with nothing; a null id is
     treated as any other node of its own, never linked; rows with one id share its component; repeated rows are all
-    kept; an empty table gives no rows; other columns are ignored.
+    kept; an empty table gives no rows; other columns are ignored. The forest and the least estimate are made for
+    pairs of similarity 0.8 or more: a lower ``percent`` is refused, as links would be lost.
 
     Returns (doc_id, n_shingles, component_id, kept) and (a, b), links between nodes.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent is {LEAST_PERCENT} to 100, not {percent}")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = durable(signatures(texts, width))
     full = signed.filter("n > 0 AND id IS NOT NULL")

@@ -70,3 +70,9 @@ def test_empty_null_and_repeated_rows(spark):
 def test_keep_one_of_each_keeps_columns(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "A b c d e f", "y"), (3, None, "z"), (None, "q", "w")], "doc_id long, text string, kept string")
     assert sorted(map(tuple, keep_one_of_each(docs).collect()), key=str) == [(1, "a b c d e f", "x"), (3, None, "z"), (None, "q", "w")]
+
+
+def test_a_similarity_that_the_forest_is_not_made_for_is_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="80"):
+        near_groups(docs, percent=50)
