@@ -16,11 +16,11 @@ from .fingerprints import mix64
 from .induced_sorting import repeated_starts
 
 FACTOR = 0x9E3779B97F4A7C15
-#: Most places of a context, and bytes of contexts in a shard.
-MOST_STARTS, SHARD_BYTES = 128, 1_000_000
+#: Bytes of contexts in a shard.
+SHARD_BYTES = 1_000_000
 #: An anchor with more different contexts than this is split by further anchors, at most so many times; contexts
 #: that still share all of them are then cut into single places.
-HOT_CONTEXTS, MOST_ANCHORS = 4096, 4
+HOT_CONTEXTS, MOST_ANCHORS = 8192, 4
 
 
 def gram_for(width: int) -> int:
@@ -54,20 +54,14 @@ def contexts(data: bytes, width: int, seed: int = 0) -> tuple[np.ndarray, np.nda
     """Key, first place and number of places of each context of a text, which share out the places where ``width``
     bytes begin. A place's key is the least hash of the anchors within its bytes, so places of equal bytes have one
     key. A context is a run of places of one key whose last anchor with that hash is the same, so equal bytes never
-    begin twice in one context, also not in periodic text."""
+    begin twice in one context, also not in periodic text, and a context has no more places than hold one anchor."""
     if len(data) < width:
         return np.empty(0, np.uint64), NONE, NONE
     gram = gram_for(width)
     hashes = gram_hashes(np.frombuffer(data, np.uint8), gram, seed)
     least = sliding_least(hashes, width - gram + 1)
     new = np.r_[0, np.flatnonzero((least[1:] != least[:-1]) | (hashes[width - gram + 1 :] == least[1:])) + 1]
-    ends = np.r_[new[1:], len(least)]
-    pieces = -(-(ends - new) // MOST_STARTS)
-    if (pieces > 1).any():
-        inside = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        starts = np.repeat(new, pieces) + inside * MOST_STARTS
-        return least[starts], starts, np.diff(np.r_[starts, len(least)])
-    return least[new], new, ends - new
+    return least[new], new, np.diff(np.r_[new, len(least)])
 
 
 def digest(data: bytes) -> bytes:
@@ -148,19 +142,18 @@ CONTEXTS = "block long, row int, start long, n int, key long, digest binary"
 def _list_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = names_of(CONTEXTS)
     for batch in batches:
-        for block, row, keys, starts, sizes, digests in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            n = len(starts) // 8
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, block, np.int64)),
-                    pa.array(np.full(n, row, np.int32)),
-                    pa.array(np.frombuffer(starts, "<i8")),
-                    pa.array(np.frombuffer(sizes, "<i4")),
-                    pa.array(np.frombuffer(keys, "<i8")),
-                    pa.array([digests[16 * i : 16 * i + 16] for i in range(n)], pa.binary()),
-                ],
-                names,
-            )
+        blocks, rows, keys, starts, sizes, digests = (c.to_pylist() for c in batch.columns)
+        each = [len(s) // 8 for s in starts]
+        packed = b"".join(digests)
+        columns = [
+            np.repeat(np.array(blocks, np.int64), each),
+            np.repeat(np.array(rows, np.int32), each),
+            np.frombuffer(b"".join(starts), "<i8"),
+            np.frombuffer(b"".join(sizes), "<i4"),
+            np.frombuffer(b"".join(keys), "<i8"),
+        ]
+        sixteen = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(packed) // 16, [None, pa.py_buffer(packed)])
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), sixteen.cast(pa.binary())], names)
 
 
 #: A class is all contexts of one key and equal bytes.
@@ -171,11 +164,17 @@ CLASS_TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
 def _fetch(width: int):
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of classes, each from the document that stands for it."""
+        rows, size = [], 0
         for batch in batches:
             for packed, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = grow(packed)
-                rows = [(w["key"], w["digest"], w["weight"], w["n"], data[w["start"] : w["start"] + w["n"] + width - 1]) for w in wanted]
-                yield _batch(names_of(CLASSES), CLASS_TYPES, rows)
+                for w in wanted:
+                    rows.append((w["key"], w["digest"], w["weight"], w["n"], data[w["start"] : w["start"] + w["n"] + width - 1]))
+                    size += len(rows[-1][-1])
+                if size > SHARD_BYTES:
+                    yield _batch(names_of(CLASSES), CLASS_TYPES, rows)
+                    rows, size = [], 0
+        yield _batch(names_of(CLASSES), CLASS_TYPES, rows)
 
     return fetch
 
@@ -281,23 +280,31 @@ def _cut_out(width: int, whole: bool):
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, n, sha, packed, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found = batch.column(4)
+            bounds, runs_ = found.offsets.to_numpy(), found.values
+            all_starts, all_sizes = runs_.field("start").to_numpy(), runs_.field("n").to_numpy()
+            all_flags, all_places = runs_.field("flags").to_pylist(), runs_.field("places").to_pylist()
+            some = np.array([f is not None or p is not None for f, p in zip(all_flags, all_places, strict=True)], bool)
+            for i, (doc_id, n, sha, packed) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True)):
                 if packed is None and not whole:
                     out.append((doc_id, n, 0, 0, sha, None, None))
                     continue
                 data = np.frombuffer(grow(packed), np.uint8)
-                change = np.zeros(n + 1, np.int32)
-                for f in found or ():
-                    if f["flags"] is not None:
-                        at = np.flatnonzero(np.unpackbits(np.frombuffer(f["flags"], np.uint8), count=f["n"]))
-                    elif f["places"] is not None:
-                        at = np.frombuffer(f["places"], "<i4")
+                # Contexts that repeat at all places, then those with flags or with several parts' places; a place
+                # stands in one context only.
+                lo, hi = bounds[i], bounds[i + 1]
+                every = lo + np.flatnonzero(~some[lo:hi])
+                change = np.bincount(all_starts[every], minlength=n + 1) - np.bincount(all_starts[every] + all_sizes[every], minlength=n + 1)
+                begins = np.cumsum(change)[:n] > 0
+                for j in (lo + np.flatnonzero(some[lo:hi])).tolist():
+                    start, size = int(all_starts[j]), int(all_sizes[j])
+                    if all_flags[j] is not None:
+                        begins[start : start + size] = np.unpackbits(np.frombuffer(all_flags[j], np.uint8), count=size)
                     else:
-                        at = np.arange(f["n"])
-                    # A place stands in one context only, but a context may be listed in several parts.
-                    np.add.at(change, f["start"] + at, 1)
-                    np.add.at(change, f["start"] + at + width, -1)
-                gone = np.cumsum(change[:-1]) > 0
+                        begins[start + np.frombuffer(all_places[j], "<i4")] = True
+                # A byte goes if one of the ``width`` places up to it begins a repeated string.
+                upto = np.cumsum(begins)
+                gone = upto[:n] > np.r_[np.zeros(min(n, width), upto.dtype), upto[: max(0, n - width)]]
                 kept = data[~gone].tobytes()
                 spans = [(a, b - a) for a, b in runs(gone) if gone[a]]
                 more = (kept, [{"start": a, "length": b} for a, b in spans]) if whole else (None, None)
