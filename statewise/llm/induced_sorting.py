@@ -83,29 +83,37 @@ def induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, k: int) -> np.nd
 
 
 def _induce_one_by_one(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
+    n = len(s)
     sizes = np.bincount(s, minlength=k)
     ends = np.cumsum(sizes)
-    text, small = s.tolist(), smaller.tolist()
-    sa = [-1] * len(text)
+    s = s.astype(np.int64)
+    text = s.tolist()
+    # The symbol before a suffix if that makes a larger (a smaller) suffix, else -1; -1 also for an empty place (-1).
+    larger, smallest = np.full(n + 1, -1), np.full(n + 1, -1)
+    larger[1:n] = np.where(smaller[:-1], -1, s[:-1])
+    smallest[1:n] = np.where(smaller[:-1], s[:-1], -1)
+    sa = [-1] * n
     tail = (ends - 1).tolist()
     for i in lms[::-1].tolist():
-        sa[tail[text[i]]] = i
-        tail[text[i]] -= 1
-    head = (ends - sizes).tolist()
-    for x in range(len(sa)):
-        i = sa[x] - 1
-        if i >= 0 and not small[i]:
-            c = text[i]
-            sa[head[c]] = i
-            head[c] += 1
-    tail = (ends - 1).tolist()
-    for x in range(len(sa) - 1, -1, -1):
-        i = sa[x] - 1
-        if i >= 0 and small[i]:
-            c = text[i]
-            sa[tail[c]] = i
-            tail[c] -= 1
-    sa[0] = len(text) - 1
+        c = text[i]
+        sa[tail[c]] = i
+        tail[c] -= 1
+    place, before = (ends - sizes).tolist(), larger.tolist()
+    # A list may grow ahead of the scan that reads it.
+    for i in sa:
+        c = before[i]
+        if c >= 0:
+            p = place[c]
+            sa[p] = i - 1
+            place[c] = p + 1
+    place, before = (ends - 1).tolist(), smallest.tolist()
+    for i in reversed(sa):
+        c = before[i]
+        if c >= 0:
+            p = place[c]
+            sa[p] = i - 1
+            place[c] = p - 1
+    sa[0] = n - 1
     return np.array(sa, np.int64)
 
 
@@ -122,21 +130,58 @@ def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     smaller = smaller_type(s)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     if len(lms) > 1:
-        sa = induce(s, smaller, lms, k)
-        is_lms = np.zeros(n, bool)
-        is_lms[lms] = True
-        ordered = sa[is_lms[sa]]
-        names = _names(s, smaller, lms, ordered)
-        reduced = np.empty(n, np.int64)
-        reduced[ordered] = names
-        most = int(names[-1]) + 1
+        if k > BUCKETED:
+            names = substring_ranks(s, lms, k)
+            ordered = None
+        else:
+            sa = induce(s, smaller, lms, k)
+            is_lms = np.zeros(n, bool)
+            is_lms[lms] = True
+            ordered = sa[is_lms[sa]]
+            ranks = np.empty(n, np.int64)
+            ranks[ordered] = _names(s, smaller, lms, ordered)
+            names = ranks[lms]
+        most = int(names.max()) + 1
         if most < len(lms):
-            lms = lms[suffix_array(reduced[lms], most)]
+            lms = lms[suffix_array(names, most)]
+        elif ordered is None:
+            lms = lms[np.argsort(names)]
         else:
             lms = ordered
     return induce(s, smaller, lms, k)
 
 
+def substring_ranks(s: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
+    """Ranks of the leftmost-smaller substrings, in text order, where there are too many symbols for buckets: symbol by
+    symbol, groups of equal beginnings are split until each has one member or has ended.
+
+    Where one ends within another, the other goes on with a larger suffix of the same symbol, which stands before the
+    smaller one: the end counts as the greatest symbol.
+    """
+    length = np.diff(np.r_[lms, len(s) - 1]) + 1
+    length[-1] = 1
+    # A group's number is how many substrings stand before it.
+    group, active, at = np.zeros(len(lms), np.int64), np.arange(len(lms)), 0
+    while len(active):
+        places = np.minimum(lms[active] + at, len(s) - 1)
+        symbol = np.where(at < length[active], s[places], k)
+        key = group[active] * (k + 1) + symbol
+        order = np.argsort(key, kind="stable")
+        active, key, symbol = active[order], key[order], symbol[order]
+        first = np.r_[True, key[1:] != key[:-1]]
+        starts = np.flatnonzero(first)
+        sizes = np.diff(np.r_[starts, len(key)])
+        # Within its old group, a new one begins after the members that stand before it.
+        old = group[active]
+        old_first = np.flatnonzero(np.r_[True, old[1:] != old[:-1]])
+        base = np.repeat(old_first, np.diff(np.r_[old_first, len(old)]))
+        group[active] = old + np.repeat(starts, sizes) - base
+        active = active[(np.repeat(sizes, sizes) > 1) & (symbol < k)]
+        at += 1
+    distinct, ranks = np.unique(group, return_inverse=True)
+    return ranks
+
+
 def _names(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Ranks of the leftmost-smaller substrings (each up to and with the next one's first symbol) in their order."""
     length = np.zeros(len(s), np.int64)
@@ -198,28 +243,25 @@ def _extend(words: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray,
     return out
 
 
-#: Symbols of a shard: the end, the gap between strings, and bytes from 2 on; UTF-8 has no byte above 0xF4.
-GAP, SHIFT = 1, 2
+#: Symbols of a shard: 0 for the end, 1 for the gap between strings, and bytes from 2 on; UTF-8 has no byte above 0xF4.
+SHIFT = 2
 
 
 def repeated_starts(strings: list[bytes], starts: list[int], weights: list[int], width: int) -> list[np.ndarray]:
     """For each string, which of its first ``starts`` places begin ``width`` bytes that begin at more than one of the
     places of all strings; a string stands for ``weights`` equal ones. Each has at least starts + width - 1 bytes."""
-    parts, valid, weight = [], [], []
-    for x, n, w in zip(strings, starts, weights, strict=True):
-        parts += [np.frombuffer(x, np.uint8) + np.uint8(SHIFT), np.full(1, GAP, np.uint8)]
-        weight.append(np.r_[np.full(n, w, np.int64), np.zeros(len(x) + 1 - n, np.int64)])
-        valid.append(n)
-    text = np.concatenate([*parts, np.zeros(1, np.uint8)])
-    weight = np.concatenate([*weight, np.zeros(1, np.int64)])
+    sizes = np.array(list(map(len, strings)))
+    # Bytes are shifted by two, so that 0xFF becomes the gap; a zero ends the shard.
+    text = np.frombuffer(b"\xff".join([*strings, b""]), np.uint8) + np.uint8(SHIFT)
+    text = np.append(text, np.uint8(0))
+    first = np.cumsum(sizes + 1) - sizes - 1
+    weight = np.zeros(len(text), np.int64)
+    many = np.array(starts)
+    weight[np.arange(int(many.sum())) + np.repeat(first - (np.cumsum(many) - many), many)] = np.repeat(weights, many)
     sa = suffix_array(text, 256)
     alike = common_prefixes(text, sa, width)[sa]
     run = np.cumsum(~alike)
     total = np.bincount(run, weight[sa])
     repeated = np.empty(len(text), bool)
     repeated[sa] = total[run] >= 2
-    out, at = [], 0
-    for x, n in zip(strings, valid, strict=True):
-        out.append(repeated[at : at + n])
-        at += len(x) + 1
-    return out
+    return [repeated[a : a + n] for a, n in zip(first.tolist(), starts, strict=True)]
