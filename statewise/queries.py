@@ -514,12 +514,18 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where a small input comes in fewer parts: rows are slim, what follows is not."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _planes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.load(spark, sf_dir, inputs.BOARDS).withColumn("planes", g.onehot_planes(F.trim("board")))
+    return _spread(inputs.load(spark, sf_dir, inputs.BOARDS)).withColumn("planes", g.onehot_planes(F.trim("board")))
 
 
 def _bits(planes) -> F.Column:
-    return F.array_join(F.transform(planes, lambda x: F.when(x == 1, "1").otherwise("0")), "")
+    return F.array_join(planes.cast("array<int>").cast("array<string>"), "")
 
 
 @query(f"SELECT o_orderkey, length(replace(bits, '0', '')) AS pieces, md5(bits) AS digest FROM {BITS}")
@@ -551,7 +557,8 @@ def planes_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sink_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that write_tensors writes, tensors as digests; the files are tested."""
-    return sequences.tensors(_positions(spark, sf_dir)).select(F.md5(_bits(F.col("board_tensor"))).alias("board"), "target_move")
+    packed = _spread(sequences.packed_tensors(_positions(spark, sf_dir)))
+    return packed.select(g.unpacked_planes(F.col("packed_board")).alias("board_tensor"), "target_move").select(F.md5(_bits(F.col("board_tensor"))).alias("board"), "target_move")
 
 
 # --- written and read again ---------------------------------------------------------------------------------------
