@@ -514,14 +514,15 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores where a small input comes in fewer parts: rows are slim, what follows is not."""
+def _spread(df: DataFrame, scan: DataFrame) -> DataFrame:
+    """``df`` over all cores where its input, a plain ``scan``, comes in fewer parts: rows are slim, what follows is not."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if scan.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def _planes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spread(inputs.load(spark, sf_dir, inputs.BOARDS)).withColumn("planes", g.onehot_planes(F.trim("board")))
+    boards = inputs.load(spark, sf_dir, inputs.BOARDS)
+    return _spread(boards, boards).withColumn("planes", g.onehot_planes(F.trim("board")))
 
 
 def _bits(planes) -> F.Column:
@@ -557,7 +558,7 @@ def planes_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sink_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that write_tensors writes, tensors as digests; the files are tested."""
-    packed = _spread(sequences.packed_tensors(_positions(spark, sf_dir)))
+    packed = _spread(sequences.packed_tensors(_positions(spark, sf_dir)), table(spark, sf_dir, "lineitem"))
     return packed.select(g.unpacked_planes(F.col("packed_board")).alias("board_tensor"), "target_move").select(F.md5(_bits(F.col("board_tensor"))).alias("board"), "target_move")
 
 
