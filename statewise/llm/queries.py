@@ -287,8 +287,33 @@ FROM placed p JOIN subroots s USING (g) JOIN ends e ON e.g = p.g AND e.i = p.i,
 """
 
 
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS h FROM documents
+), windows AS (
+  SELECT r, p, md5_number(h[p + 1:p + 200]) AS w
+  FROM (SELECT r, h, unnest(range(octet_length(h) - 199)) AS p FROM docs WHERE octet_length(h) >= 200)
+), repeated AS (
+  SELECT w FROM windows GROUP BY w HAVING count(*) > 1
+), hits AS (
+  SELECT r, p, coalesce(p > lag(p) OVER (PARTITION BY r ORDER BY p) + 200, true) AS first FROM windows SEMI JOIN repeated USING (w)
+), spans AS (
+  SELECT r, min(p) AS a, max(p) + 200 AS b
+  FROM (SELECT r, p, sum(first::INTEGER) OVER (PARTITION BY r ORDER BY p) AS span FROM hits) GROUP BY r, span
+), gaps AS (
+  SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS upto FROM spans
+), cut AS (
+  SELECT g.r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(hex(h[upto + 1:a]), '' ORDER BY a) AS kept
+  FROM gaps g JOIN docs USING (r) GROUP BY g.r
+)
+SELECT doc_id, octet_length(h) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || hex(h[coalesce(last, 0) + 1:octet_length(h)]))) AS kept_sha256
+FROM docs LEFT JOIN cut ON docs.r = cut.r
+"""
+
 SQL: dict[str, str] = {
     "op11_merkle_manifest": OP11_SQL,
+    "op13_suffix_dedup": OP13_SQL,
     "op1_near_dedup": OP1_SQL,
     "op7_remove_repeats": OP7_SQL,
     "op4_chat_format": OP4_SQL,
