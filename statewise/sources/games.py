@@ -35,6 +35,18 @@ def split_records(texts: DataFrame, key: str, text_col: str = "value") -> DataFr
     return texts.select(key, F.posexplode(records).alias("record", "value"))
 
 
+def numbered_records(records: DataFrame, key: str, file: str, own: str) -> DataFrame:
+    """``records``, which have a number ``own`` (0..) in their file, with the number ``record`` among all of their key.
+
+    Files of a key stand in order. One row for each file is all that is dealt by key alone.
+    """
+    counts = records.groupBy(F.col(key).alias("__key"), F.col(file).alias("__file")).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__key").orderBy("__file").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("__key", "__file", F.coalesce(before, F.lit(0)).alias("__before"))
+    joined = records.join(offsets, F.col(key).eqNullSafe(F.col("__key")) & F.col(file).eqNullSafe(F.col("__file")))
+    return joined.withColumn("record", F.col("__before") + F.col(own)).drop("__key", "__file", "__before")
+
+
 def archive_records(archives: DataFrame, key: str = "path", content: str = "content", chunk: int = 1 << 20) -> DataFrame:
     """One row (key, record, value) for each game of compressed or plain archives, one archive a row of ``archives``.
 

@@ -65,3 +65,30 @@ def test_bucketed_profile_is_not_shuffled_for_lookups(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 8 out of 8" in plan
+
+
+def test_compact_cuts_records_out_of_the_files_of_a_key(spark, tmp_path):
+    import duckdb
+
+    from statewise.queries import QUERIES, SQL
+
+    customers = spark.range(1, 400).selectExpr("id c_custkey", "cast(if(id % 5 = 4, null, id % 3) as int) c_nationkey")
+    orders = spark.range(6000).selectExpr("id o_orderkey", "id % 390 o_custkey", "timestamp_seconds(id * 1000) o_orderdate")
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    db = duckdb.connect()
+    for t in ("customer", "orders"):
+        db.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    got = QUERIES["src_compact"](spark, str(tmp_path))
+    assert got.columns == ["c_nationkey", "record", "piece"]
+    rows = sorted(map(tuple, got.collect()), key=str)
+    assert rows == sorted(db.sql(SQL["src_compact"]).fetchall(), key=str) and len(rows) == 389 and max(r[2] for r in rows) > 2
+
+
+def test_records_are_numbered_over_files(spark):
+    files = [(k, f, i) for k in ("a", None) for f, n in ((0, 3), (4, 1), (None, 2)) for i in range(n)]
+    got = sources.numbered_records(spark.createDataFrame(files, "k string, f int, i int"), "k", "f", "i")
+    for k in ("a", None):
+        assert sorted((r.f is not None, r.f or 0, r.i, r.record) for r in got.collect() if r.k == k) == [
+            (False, 0, 0, 0), (False, 0, 1, 1), (True, 0, 0, 2), (True, 0, 1, 3), (True, 0, 2, 4), (True, 4, 0, 5),
+        ]
