@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -150,31 +153,74 @@ def is_board(state: Column) -> Column:
     return board_squares(state).rlike(f"^[{SQUARES}]{{64}}$")
 
 
-def _planes(squares: Column, symbols: str) -> Column:
-    """For each symbol, where it stands in a text of 64 squares, as 64 numbers 1.0 or 0.0; flattened."""
-    each = F.array(*map(F.lit, symbols))
-    # Within an array of one, the squares are found once and not for every symbol.
-    return F.transform(
-        F.array(F.split(squares, "")), lambda qs: F.flatten(F.transform(each, lambda p: F.transform(qs, lambda q: (q == p).cast("float"))))
-    )[0]
+def packed_board(state: Column) -> Column:
+    """A board in 32 bytes, four bits for each square from the top left; null for a bad board.
 
+    It holds what 768 numbers do: the form to store, to shuffle and to compare. Batches of boards are packed at once.
+    """
+    # A function within a function travels by value, so executors need no copy of this module.
+    digit = np.full(256, 255, np.uint8)
+    digit[np.frombuffer(SQUARES.encode(), np.uint8)] = np.arange(len(SQUARES), dtype=np.uint8)
 
-def onehot_planes(state: Column) -> Column:
-    """12 planes of 8 x 8, flattened: plane by piece, row from the top, 1.0 where the piece stands. Null for a bad board."""
-    return F.when(is_board(state), _planes(board_squares(state), PIECES))
+    @F.arrow_udf("binary")
+    def pack(boards: pa.Array) -> pa.Array:
+        squares = pc.replace_substring(boards.cast(pa.string()), "/", "")
+        for n in range(8, 0, -1):
+            squares = pc.replace_substring(squares, str(n), "." * n)
+        whole = np.flatnonzero(pc.fill_null(pc.equal(pc.binary_length(squares), 64), False).to_numpy(zero_copy_only=False))
+        text = "".join(squares.take(pa.array(whole)).to_pylist()).encode()
+        digits = digit[np.frombuffer(text, np.uint8)].reshape(-1, 64)
+        good = (digits < 255).all(axis=1)
+        valid = np.zeros(len(squares), bool)
+        valid[whole[good]] = True
+        digits = digits[good]
+        ends = np.concatenate([[0], np.cumsum(32 * valid)]).astype(np.int32)
+        data = (digits[:, ::2] << 4 | digits[:, 1::2]).tobytes()
+        return pa.Array.from_buffers(pa.binary(), len(squares), [pa.py_buffer(np.packbits(valid, bitorder="little")), pa.py_buffer(ends), pa.py_buffer(data)])
 
+    return pack(F.substring_index(state, " ", 1))
 
-def packed_board(state: Column) -> Column:
-    """A board in 32 bytes, four bits for each square from the top left; null for a bad board.
 
-    It holds what 768 numbers do: the form to store, to shuffle and to compare.
-    """
-    return F.when(is_board(state), F.unhex(F.translate(board_squares(state), SQUARES, DIGITS)))
+def board_digits():
+    """A function that gives the 64 digits of each packed board that is there, as rows of an array. It travels by value."""
+
+    def digits(boards: pa.Array):
+        raw = np.frombuffer(b"".join(boards.drop_null().to_pylist()), np.uint8)
+        return np.stack([raw >> 4, raw & 15], axis=1).reshape(-1, 64)
+
+    return digits
 
 
 def unpacked_planes(packed: Column) -> Column:
     """The planes of a packed board, as ``onehot_planes`` gives them."""
-    return _planes(F.hex(packed), DIGITS[1:])
+    digits, count = board_digits(), len(PIECES)
+
+    @F.arrow_udf("array<float>")
+    def flattened(boards: pa.Array) -> pa.Array:
+        there = boards.is_valid().to_numpy(zero_copy_only=False)
+        numbers = (digits(boards)[:, None, :] == np.arange(1, count + 1, dtype=np.uint8)[:, None]).astype(np.float32).ravel()
+        ends = np.concatenate([[0], np.cumsum(64 * count * there)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(numbers), mask=pa.array(~there))
+
+    return flattened(packed)
+
+
+def onehot_planes(state: Column) -> Column:
+    """12 planes of 8 x 8, flattened: plane by piece, row from the top, 1.0 where the piece stands. Null for a bad board."""
+    return unpacked_planes(packed_board(state))
+
+
+def planes_text(planes: Column) -> Column:
+    """The numbers of an array that holds nothing but 1.0 and 0.0, as a text of "1" and "0"."""
+
+    @F.arrow_udf("string")
+    def text(numbers: pa.Array) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(numbers), 0).to_numpy())]).astype(np.int32)
+        data = (numbers.flatten().to_numpy() + ord("0")).astype(np.uint8).tobytes()
+        valid = np.packbits(numbers.is_valid().to_numpy(zero_copy_only=False), bitorder="little")
+        return pa.Array.from_buffers(pa.string(), len(numbers), [pa.py_buffer(valid), pa.py_buffer(ends), pa.py_buffer(data)])
+
+    return text(planes)
 
 
 def set_squares(packed: Column) -> Column:

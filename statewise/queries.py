@@ -526,24 +526,28 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rows of boards or moves that a task encodes.
+ROWS_A_TASK = 100_000
+
+
 def _spread(df: DataFrame, scan: DataFrame) -> DataFrame:
-    """``df`` over all cores where its input, a plain ``scan``, comes in fewer parts: rows are slim, what follows is not."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if scan.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """``df`` in parts of ROWS_A_TASK rows of its input, a plain ``scan``, and over all cores: rows are slim, what follows
+    is not. A file's parts tell nothing of its rows, which are read by row groups; the count is read from its footers."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-scan.count() // ROWS_A_TASK)))
 
 
 def _planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     boards = inputs.load(spark, sf_dir, inputs.BOARDS)
-    return _spread(boards, boards).withColumn("planes", g.onehot_planes(F.trim("board")))
+    return _spread(boards, table(spark, sf_dir, "orders")).withColumn("planes", g.onehot_planes(F.trim("board")))
 
 
-def _bits(planes) -> F.Column:
-    return F.array_join(planes.cast("array<int>").cast("array<string>"), "")
+def _bits(numbers) -> F.Column:
+    return F.array_join(numbers.cast("array<int>").cast("array<string>"), "")
 
 
 @query(f"SELECT o_orderkey, length(replace(bits, '0', '')) AS pieces, md5(bits) AS digest FROM {BITS}")
 def onehot_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bits = _planes(spark, sf_dir).select("o_orderkey", _bits(F.col("planes")).alias("bits"))
+    bits = _planes(spark, sf_dir).select("o_orderkey", g.planes_text(F.col("planes")).alias("bits"))
     return bits.select("o_orderkey", F.length(F.replace("bits", F.lit("0"))).cast("long").alias("pieces"), F.md5("bits").alias("digest"))
 
 
@@ -571,7 +575,7 @@ def planes_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that write_tensors writes, tensors as digests; the files are tested."""
     packed = _spread(sequences.packed_tensors(_positions(spark, sf_dir)), table(spark, sf_dir, "lineitem"))
-    return packed.select(g.unpacked_planes(F.col("packed_board")).alias("board_tensor"), "target_move").select(F.md5(_bits(F.col("board_tensor"))).alias("board"), "target_move")
+    return packed.select(g.unpacked_planes(F.col("packed_board")).alias("board_tensor"), "target_move").select(F.md5(g.planes_text(F.col("board_tensor"))).alias("board"), "target_move")
 
 
 # --- written and read again ---------------------------------------------------------------------------------------

@@ -171,3 +171,16 @@ def test_upsert_last_wins(spark):
     base = spark.createDataFrame([("a", 1), ("b", 2)], "_id string, v int")
     delta = spark.createDataFrame([("b", 3, 1), ("b", 4, 2), ("c", 5, 1)], "_id string, v int, at int")
     assert sorted(map(tuple, profile.upsert(base, delta, "at").collect())) == [("a", 1), ("b", 4), ("c", 5)]
+
+
+def test_boards_are_dealt_by_rows_whatever_their_files(spark, tmp_path, monkeypatch):
+    from statewise import queries
+
+    orders = spark.range(3000).selectExpr("id o_orderkey", "if(id % 9 = 0, null, id % 40) o_custkey", "id * 10D o_totalprice")
+    orders.repartition(20).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(queries, "ROWS_A_TASK", 50)
+    planes = queries._planes(spark, str(tmp_path))
+    assert planes.rdd.getNumPartitions() == 60
+    bits = planes.select("planes", g.planes_text(F.col("planes")).alias("bits")).collect()
+    assert len(bits) == 3000 and all(r.bits is r.planes is None or r.bits == "".join(str(int(x)) for x in r.planes) for r in bits)
+    assert sum(r.bits is None for r in bits) == 334
