@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, NaiveBayes
@@ -111,13 +112,19 @@ def fit_boards(rows: DataFrame, kind: str = "softmax", iterations: int = 20) ->
     """
     spark = rows.sparkSession
     vectors = _vectors(spark)
-    labels = observed_targets(rows).cache()
-    ready = vectors.transform(_named_squares(rows.filter(f"{BOARD} IS NOT NULL").join(F.broadcast(labels), TARGET)))
     if kind == "softmax":
+        labels = observed_targets(rows).cache()
+        ready = vectors.transform(_named_squares(rows.filter(f"{BOARD} IS NOT NULL").join(F.broadcast(labels), TARGET)))
         model = LogisticRegression(maxIter=iterations, family="multinomial").fit(ready)
         weights, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     elif kind == "bayes":
-        model = NaiveBayes(modelType="multinomial").fit(ready)
+        counts = square_counts(rows).cache()
+        labels = observed_targets(counts).cache()
+        # To the classifier a target's boards are one with all their squares, and empty ones up to their number.
+        weighed = lambda weight, squares: F.struct(weight.cast("double").alias("weight"), squares.cast("array<double>").alias("squares"))
+        parts = F.array(weighed(F.lit(1), F.col("squares")), weighed(F.col("n") - 1, F.array_repeat(F.lit(0), BOARD_SIZE)))
+        ready = counts.join(F.broadcast(labels), TARGET).select("label", F.explode(parts).alias("p")).select("label", "p.weight", array_to_vector("p.squares").alias("features"))
+        model = NaiveBayes(modelType="multinomial", weightCol="weight").fit(ready)
         weights, bias = model.theta.toArray(), model.pi.toArray()
     else:
         raise ValueError(f"kind is softmax or bayes, not {kind}")
@@ -127,6 +134,46 @@ def fit_boards(rows: DataFrame, kind: str = "softmax", iterations: int = 20) ->
     return BoardPolicy(spark.createDataFrame(table, MODEL), vectors, labels, model)
 
 
+def square_counts(rows: DataFrame) -> DataFrame:
+    """target_move, n (its boards) and squares: for each of the 768 numbers, how many of these boards have it set.
+
+    A task counts its rows batch by batch and hands on one row for each target, so what is shuffled does not grow with
+    the rows. Rows without a board or target are left out.
+    """
+    size, _digits = BOARD_SIZE, g.board_digits()
+
+    def batch(targets, counts):
+        numbers = np.array(counts, np.int64).reshape(-1, size + 1)
+        squares = pa.ListArray.from_arrays(pa.array(np.arange(0, numbers.shape[0] * size + 1, size, dtype=np.int32)), pa.array(numbers[:, 1:].ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(targets, pa.int32()), pa.array(numbers[:, 0]), squares], ["target_move", "n", "squares"])
+
+    def count(batches):
+        held = {}
+        for given in batches:
+            boards, targets = given.column(0), given.column(1).to_numpy(zero_copy_only=False)
+            found, at = np.unique(targets, return_inverse=True)
+            digits = _digits(boards)
+            row, square = np.nonzero(digits)
+            place = at[row] * (size + 1) + 1 + (digits[row, square].astype(np.int64) - 1) * 64 + square
+            counts = np.bincount(place, minlength=len(found) * (size + 1)).reshape(-1, size + 1)
+            counts[:, 0] = np.bincount(at, minlength=len(found))
+            for target, some in zip(found.tolist(), counts, strict=True):
+                if target in held:
+                    held[target] += some
+                else:
+                    held[target] = some.copy()
+        if held:
+            yield batch(list(held), list(held.values()))
+
+    def added(parts: pa.Table) -> pa.Table:
+        numbers = np.column_stack([parts.column("n").to_numpy(), np.stack(parts.column("squares").to_numpy())])
+        return pa.Table.from_batches([batch(parts.column("target_move").to_pylist()[:1], numbers.sum(axis=0))])
+
+    schema = "target_move int, n long, squares array<long>"
+    known = rows.select(BOARD, F.col(TARGET).cast("int").alias(TARGET)).filter(f"{BOARD} IS NOT NULL AND {TARGET} IS NOT NULL")
+    return known.mapInArrow(count, schema).groupBy(TARGET).applyInArrow(added, schema)
+
+
 def _vectors(spark: SparkSession) -> CountVectorizerModel:
     return CountVectorizerModel.from_vocabulary([str(i) for i in range(BOARD_SIZE)], "__squares", "features").setBinary(True)
 
@@ -135,12 +182,58 @@ def _named_squares(rows: DataFrame) -> DataFrame:
     return rows.withColumn("__squares", F.transform(g.set_squares(F.col(BOARD)), lambda i: i.cast("string")))
 
 
-def predict_boards(fitted: BoardPolicy, rows: DataFrame) -> DataFrame:
-    """``rows`` with predicted_move, and loss (of the row's own target; null if it was never seen)."""
-    scored = fitted.model.transform(fitted.vectors.transform(_named_squares(rows.join(F.broadcast(fitted.labels), TARGET, "left"))))
-    known = F.broadcast(fitted.labels.select(F.col("label").alias("prediction"), F.col(TARGET).alias("predicted_move")))
-    share = F.try_element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
-    return scored.withColumn("loss", -F.log(share)).join(known, "prediction", "left").drop("label", "__squares", "features", "rawPrediction", "probability", "prediction")
+def _by_square(table: DataFrame):
+    """A model's targets in their order, their biases, and their weights by [square, digit of the square] (0 if empty).
+
+    It is at most 4096 rows of 768 numbers, and travels with the functions that use it.
+    """
+    rows = table.orderBy(TARGET).collect()
+    weights = np.zeros((64, len(g.DIGITS), len(rows)))
+    weights[:, 1:] = np.array([r.weights for r in rows], float).reshape(len(rows), len(g.PIECES), 64).transpose(2, 1, 0)
+    return np.array([r[TARGET] for r in rows], np.int64), np.array([r.bias for r in rows], float), weights
+
+
+def predict_boards(fitted: BoardPolicy, rows: DataFrame, most: int = 256) -> DataFrame:
+    """``rows`` with predicted_move, and loss (of the row's own target; null if it was never seen).
+
+    All targets are scored, once for each board of a batch and ``most`` boards at a time. The first of equal targets wins.
+    """
+    names, bias, weights = _by_square(fitted.table)
+    _digits = g.board_digits()
+
+    @F.arrow_udf("predicted_move int, share double")
+    def predict(boards: pa.Array, targets: pa.Array) -> pa.Array:
+        there = np.flatnonzero(boards.is_valid().to_numpy(zero_copy_only=False))
+        digits = _digits(boards)
+        _, first, at = np.unique((digits[:, ::2] << 4 | digits[:, 1::2]).view("S32").ravel(), return_index=True, return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        asked = targets.fill_null(-1).to_numpy(zero_copy_only=False)[there]
+        label = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+        known = names[label] == asked
+        moves, shares = np.zeros(len(boards), np.int32), np.zeros(len(boards))
+        for begin in range(0, len(first), most):
+            some = digits[first[begin : begin + most]]
+            scores = np.zeros((len(some), len(names)))
+            for square in range(64):
+                row = np.flatnonzero(some[:, square])
+                scores[row] += weights[square, some[row, square]]
+            scores += bias
+            best = scores.argmax(axis=1)
+            scores = np.exp(scores - scores[np.arange(len(some)), best][:, None])
+            total = scores.sum(axis=1)
+            low, high = np.searchsorted(at[order], [begin, begin + len(some)])
+            mine = order[low:high]
+            own = at[mine] - begin
+            moves[there[mine]] = names[best[own]]
+            shares[there[mine]] = scores[own, label[mine]] / total[own]
+        unseen = np.ones(len(boards), bool)
+        unseen[there[known]] = False
+        absent = np.ones(len(boards), bool)
+        absent[there] = False
+        return pa.StructArray.from_arrays([pa.array(moves, mask=absent), pa.array(shares, mask=unseen)], ["predicted_move", "share"])
+
+    scored = rows.withColumn("__p", predict(F.col(BOARD), F.col(TARGET).cast("int")))
+    return scored.select(*rows.columns, (-F.log("__p.share")).alias("loss"), F.col("__p.predicted_move").alias("predicted_move"))
 
 
 def accuracy(predicted: DataFrame) -> DataFrame:

@@ -95,15 +95,12 @@ def expert_rows(positions: DataFrame, least_rating: int = 2000) -> DataFrame:
 
 
 def packed_tensors(positions: DataFrame, least_rating: int = 2000) -> DataFrame:
-    """packed_board (32 bytes) and target_move of expert rows; rows that can't be encoded are left out.
-
-    Whether a board can be encoded is asked of its text, so a filter below a join never encodes it.
-    """
-    board = F.col("Position_FEN")
+    """packed_board (32 bytes) and target_move of expert rows; rows that can't be encoded are left out."""
     return (
         expert_rows(positions, least_rating)
-        .filter(g.is_board(board) & F.col("Move_Played").rlike(g.MOVE))
-        .select(g.packed_board(board).alias("packed_board"), g.move_index(F.col("Move_Played")).alias("target_move"))
+        .filter(F.col("Move_Played").rlike(g.MOVE))
+        .select(g.packed_board(F.col("Position_FEN")).alias("packed_board"), g.move_index(F.col("Move_Played")).alias("target_move"))
+        .filter("packed_board IS NOT NULL")
     )
 
 

@@ -1,5 +1,6 @@
 """Packed boards, tensors written, read and fitted, saved models and answers from them."""
 
+import math
 import random
 
 import pytest
@@ -109,3 +110,26 @@ def test_view_of_a_classifiers_answer(spark):
     shown = {(r.fen, r.place): (r.title, r.move, r.percent, r.label) for r in profile.answer_view(answered).collect()}
     assert shown["z z z z", 0] == ("Deep Learning AI", "m", "12.3%", "CONFIDENCE") and ("z z z z", 1) not in shown
     assert shown["a b c d", 0][2] == "50.0%" and len(shown) == 5
+
+
+def test_squares_are_counted_by_target_before_the_shuffle(spark):
+    texts = spark.createDataFrame([(b, t) for t in (5, 700, None) for b in BOARDS[:3] * t_times(t) + [None]], "b string, target_move int")
+    rows = texts.select(g.packed_board(F.col("b")).alias("packed_board"), "target_move")
+    got = {r.target_move: r for r in policy.square_counts(rows.repartition(3)).collect()}
+    assert {k: r.n for k, r in got.items()} == {5: 6, 700: 9}
+    want = [sum(x) for x in zip(*(r.p for r in texts.filter("target_move = 5 AND b IS NOT NULL").select(g.onehot_planes(F.col("b")).alias("p")).collect()), strict=True)]
+    assert got[5].squares == want and sum(got[700].squares) == 3 * (32 + 2)
+    # Rows without a board have no prediction, rows of an unseen target no loss.
+    fitted = policy.fit_boards(rows, "bayes")
+    seen = policy.predict_boards(fitted, rows.unionByName(rows.limit(1).withColumn("target_move", F.lit(9))), most=2).collect()
+    assert all((r.packed_board is None) == (r.predicted_move is None) for r in seen)
+    whole = {bytes(r.packed_board): r.probability for r in fitted.model.transform(fitted.vectors.transform(policy._named_squares(rows.filter("packed_board IS NOT NULL")))).collect()}
+    for r in seen:
+        known = r.packed_board is not None and r.target_move in (5, 700)
+        assert (r.loss is not None) == known
+        if known:
+            assert r.loss == pytest.approx(-math.log(whole[bytes(r.packed_board)][(5, 700).index(r.target_move)]))
+
+
+def t_times(target):
+    return {5: 2, 700: 3}.get(target, 1)
