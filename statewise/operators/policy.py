@@ -261,13 +261,28 @@ def board_policy(model: DataFrame | None, candidates: DataFrame, key: str = "_id
     """The best of each key's candidates and its probability among them; None without a model.
 
     ``candidates`` has key, ordinal, choice, packed_board and target_move. A candidate's score is its target's bias and
-    the weights of the squares that are set, so only targets that are candidates are scored, and each board and target
-    once, however many keys ask for them. The model has at most 4096 rows and is broadcast. Targets that the model has
-    never seen are no candidates; a key with no others has no answer.
+    the weights of the squares that are set, so only targets that are candidates are scored, where they stand and in
+    batches: only the masked choice shuffles. The model has at most 4096 rows and travels with the job. Targets that the
+    model has never seen are no candidates; a key with no others has no answer.
     """
     if model is None:
         return None
-    pairs = candidates.select(BOARD, TARGET).distinct().join(F.broadcast(model), TARGET)
-    weights = F.aggregate(g.set_squares(F.col(BOARD)), F.lit(0.0), lambda s, i: s + F.element_at("weights", i + 1))
-    scored = pairs.select(BOARD, TARGET, (F.col("bias") + weights).alias("logit"))
-    return masked_policy(candidates.join(scored, [BOARD, TARGET]).select(key, "ordinal", "choice", "logit"), key)
+    names, bias, weights = _by_square(model)
+    _digits = g.board_digits()
+
+    @F.arrow_udf("double")
+    def score(boards: pa.Array, targets: pa.Array) -> pa.Array:
+        asked = targets.fill_null(-1).to_numpy(zero_copy_only=False)
+        label = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+        known = (names[label] == asked) & boards.is_valid().to_numpy(zero_copy_only=False)
+        digits, label = _digits(boards.filter(pa.array(known))), label[known]
+        scores = np.zeros(len(label))
+        for square in range(64):
+            scores += weights[square, digits[:, square], label]
+        out = np.zeros(len(asked))
+        out[known] = bias[label] + scores
+        return pa.array(out, mask=~known)
+
+    logit = score(F.col(BOARD), F.col(TARGET).cast("int")) if len(names) else F.lit(None).cast("double")
+    scored = candidates.select(key, "ordinal", "choice", logit.alias("logit"))
+    return masked_policy(scored.filter("logit IS NOT NULL"), key)

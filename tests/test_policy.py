@@ -133,3 +133,13 @@ def test_squares_are_counted_by_target_before_the_shuffle(spark):
 
 def t_times(target):
     return {5: 2, 700: 3}.get(target, 1)
+
+
+def test_candidates_are_scored_where_they_stand(spark):
+    fitted = policy.fit_boards(sequences.packed_tensors(learnable(spark, 200)), "bayes")
+    rows = spark.createDataFrame([(k, i, m, b) for k in ("a", "b") for b in BOARDS[:2] + BAD[:1] for i, m in enumerate(["a1a1", "h8h7", "a1c3"])], "_id string, ordinal int, choice string, board string")
+    candidates = rows.select("_id", "ordinal", "choice", g.packed_board(F.col("board")).alias("packed_board"), g.move_index(F.col("choice")).alias("target_move"))
+    chosen = policy.board_policy(fitted.table, candidates)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert not any("packed_board" in line for line in plan.splitlines() if "hashpartitioning" in line)
+    assert sorted(r._id for r in chosen.collect()) == ["a", "b"] and {r.move for r in chosen.collect()} <= {"a1a1", "a1c3"}
