@@ -230,14 +230,17 @@ def set_squares(packed: Column) -> Column:
 
 
 def reshape_planes(flat: Column) -> Column:
-    """A flat array of 768 as 12 x 8 x 8."""
+    """A flat array of 768 as 12 x 8 x 8; a null array has rows that are null."""
 
-    def cube(f: Column) -> Column:
-        rows = F.sequence(F.lit(0), F.lit(7))
-        return F.transform(F.sequence(F.lit(0), F.lit(11)), lambda c: F.transform(rows, lambda r: F.slice(f, c * 64 + r * 8 + 1, 8)))
+    @F.arrow_udf("array<array<array<float>>>")
+    def cube(numbers: pa.Array) -> pa.Array:
+        there = np.repeat(numbers.is_valid().to_numpy(zero_copy_only=False), 96)
+        ends = np.concatenate([[0], np.cumsum(8 * there)]).astype(np.int32)
+        rows = pa.ListArray.from_arrays(pa.array(ends), numbers.flatten(), mask=pa.array(~there))
+        planes = pa.ListArray.from_arrays(pa.array(np.arange(0, len(rows) + 1, 8, dtype=np.int32)), rows)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(planes) + 1, 12, dtype=np.int32)), planes)
 
-    # Within an array of one, the argument is computed once and not for every slice.
-    return F.transform(F.array(flat), cube)[0]
+    return cube(flat)
 
 
 def ai_sentence(confidence: Column) -> Column:

@@ -184,3 +184,14 @@ def test_boards_are_dealt_by_rows_whatever_their_files(spark, tmp_path, monkeypa
     bits = planes.select("planes", g.planes_text(F.col("planes")).alias("bits")).collect()
     assert len(bits) == 3000 and all(r.bits is r.planes is None or r.bits == "".join(str(int(x)) for x in r.planes) for r in bits)
     assert sum(r.bits is None for r in bits) == 334
+
+
+def test_cubes_are_dealt_by_rows(spark, tmp_path, monkeypatch):
+    from statewise import queries
+
+    flat = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(767)), lambda i: i.cast("float")).alias("f"))
+    assert flat.select(g.reshape_planes(F.col("f"))).first()[0] == [[[float(p * 64 + r * 8 + i) for i in range(8)] for r in range(8)] for p in range(12)]
+    spark.range(900).selectExpr("id o_orderkey", "id % 40 o_custkey", "id * 10D o_totalprice").repartition(20).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(queries, "ROWS_A_TASK", 30)
+    cubes = queries.planes_reshape(spark, str(tmp_path))
+    assert cubes.rdd.getNumPartitions() == 30 and cubes.filter("length(last_plane) = 64").count() == 900
